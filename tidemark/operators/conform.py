@@ -46,20 +46,29 @@ def batch_rank(batch: str | Column, order: Sequence[str] = BATCH_ORDER) -> Colum
     return F.coalesce(F.array_position(F.array(*[F.lit(b) for b in order]), label), F.lit(0))
 
 
-def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Column]) -> DataFrame:
+def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Column],
+           keep_partitioning: bool = False) -> DataFrame:
     """One row per key: the newest by ``newest_first``, NULLs oldest.
 
     Columns not named follow as tie-breakers, so the kept row is the same on
     every run.  Spark turns the row-number filter into a per-task group limit
     ahead of the shuffle: a task sends at most one row per key, however many
     copies of a key there are.
+
+    The key's hash leads the sort, because ids share a long common prefix and
+    would be compared in full; eight bytes of hash decide nearly every
+    comparison.  ``keep_partitioning`` leaves it out, so that the result is
+    partitioned by the key alone and a join on the key needs no further shuffle.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in newest_first]
     named = {c for c in newest_first if isinstance(c, str)}
     order += [F.col(f.name) for f in df.schema.fields
               if f.name not in named and f.name not in keys
               and f.dataType.typeName() not in ("map", "variant")]
-    window = Window.partitionBy(*keys).orderBy(*[c.desc_nulls_last() for c in order])
+    groups = [F.col(k) for k in keys]
+    if not keep_partitioning:
+        groups.insert(0, F.xxhash64(*keys))
+    window = Window.partitionBy(*groups).orderBy(*[c.desc_nulls_last() for c in order])
     numbered = df.withColumn("_row_number", F.row_number().over(window))
     return numbered.filter(F.col("_row_number") == 1).drop("_row_number")
 
@@ -67,7 +76,8 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Colu
 def latest_conformed(df: DataFrame, entity: Entity) -> DataFrame:
     """Conform first, then keep the latest row of each conformed key."""
     order = [batch_rank(c) if c == "SourceBatch" else c for c in entity.newest_first]
-    return latest(conform(df, entity), [entity.key], order)
+    return latest(conform(df, entity), [entity.key], order,
+                  keep_partitioning=entity.parent is not None)
 
 
 def lineage_columns(run: RunInfo, source_system: str | Column,

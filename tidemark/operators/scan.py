@@ -41,44 +41,70 @@ SAFE_REPLACEMENT = "<known-test-fixture>"
 # A user rule for tokens assigned as 40 hex digits.
 HEX_TOKEN_RULE: Mapping[str, str] = {"hex-token": r"\btoken\s*=\s*\"[0-9a-f]{40}\""}
 
-LINE_BREAK = "\r\n|[\n\x0b\f\r\x1c\x1d\x1e\x85  ]"
+# Words, in lower case, one of which is in every match of a rule whatever its
+# letter case.  A rule without an entry is tried on every text.
+REQUIRED_WORDS: Mapping[str, Sequence[str]] = {
+    "azure-storage-key": ("accountkey=",),
+    "sas-signature": ("sig=",),
+    "github-token": ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_"),
+    "databricks-token": ("dapi",),
+    "jwt": ("eyj",),
+    "private-key": ("private key-----",),
+    "literal-secret": ("secret", "password", "pwd", "access"),
+    "literal-bearer": ("authorization",),
+    "snowflake-snowsight-account-url": ("https://app.snowflake.com/",),
+    "snowflake-account-host": ("snowflakecomputing.",),
+    "hex-token": ("token",),
+}
+
+LINE_BREAK = "\r\n|[\n\x0b\f\r\x1c\x1d\x1e\x85\u2028\u2029]"
 
 
 def scan_text(df: DataFrame, label: str, text: str,
               rules: Mapping[str, str] = SECRET_RULES,
               extra_rules: Mapping[str, str] | None = None,
-              safe_literals: Sequence[str] = SAFE_LITERALS) -> DataFrame:
+              safe_literals: Sequence[str] = SAFE_LITERALS,
+              required_words: Mapping[str, Sequence[str]] = REQUIRED_WORDS) -> DataFrame:
     """One row per (label, line, rule) where a rule matches the line.
 
-    A text is split into lines only if some rule could match anywhere in it, so
-    clean texts cost the prefilter alone.  The rules are part of the
-    projection: there is no join and no shuffle, and a text stays whole.
+    A text is split into lines only for the rules that can match somewhere in
+    it, which plain word searches rule out for most; clean texts never leave the
+    scan.  The rules are part of the projection: there is no join and no
+    shuffle, and a text is always searched as a whole.
     """
     rules = {**rules, **(extra_rules or {})}
     blanked = F.col(text)
     for literal in safe_literals:
         blanked = F.replace(blanked, F.lit(literal), F.lit(SAFE_REPLACEMENT))
-    suspects = df.select(F.col(label), blanked.alias("_text")).filter(_any_rule(rules))
-    lines = suspects.select(
-        label, F.posexplode(F.split("_text", LINE_BREAK)).alias("_position", "_line"))
+    texts = df.select(F.col(label), blanked.alias("_text"))
+    texts = texts.withColumn("_folded", F.lower("_text"))
+    possible = F.array_compact(F.array(*[
+        F.when(_may_match(pattern, required_words.get(name, ())), F.lit(name))
+        for name, pattern in rules.items()]))
+    texts = texts.withColumn("_possible", possible)
+    lines = texts.select(label, "_possible", F.posexplode(
+        F.when(F.size("_possible") > 0, F.split("_text", LINE_BREAK))
+    ).alias("_position", "_line"))
     hits = F.array_compact(F.array(*[
-        F.when(F.col("_line").rlike(pattern), F.lit(name)) for name, pattern in rules.items()]))
+        F.when(F.array_contains("_possible", name) & F.col("_line").rlike(pattern), F.lit(name))
+        for name, pattern in rules.items()]))
     return lines.select(label, (F.col("_position") + 1).alias("line"),
                         F.explode(hits).alias("rule"))
 
 
-def _any_rule(rules: Mapping[str, str]) -> Column:
+def _may_match(pattern: str, words: Sequence[str]) -> Column:
     """True for every text with a matching line, and possibly for others.
 
     Within the whole text a line start is the text start or any line break, so
-    ``^`` is spelled out as such; a leading case flag is kept inside its group.
+    ``^`` is spelled out as such.
     """
-    line_start = f"(?:^|{LINE_BREAK})"
-    parts = []
-    for pattern in rules.values():
-        flag, body = ("(?i:", pattern[4:]) if pattern.startswith("(?i)") else ("(?:", pattern)
-        parts.append(f"{flag}{body.replace('|^)', '|' + line_start + ')')})")
-    return F.col("_text").rlike("|".join(parts))
+    anywhere = F.col("_text").rlike(pattern.replace("|^)", f"|^|{LINE_BREAK})"))
+    if not words:
+        return anywhere
+    present = F.col("_folded").contains(words[0])
+    for word in words[1:]:
+        present = present | F.col("_folded").contains(word)
+    return present & anywhere
 
 
 def format_findings(findings: DataFrame, label: str) -> DataFrame:

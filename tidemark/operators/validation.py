@@ -62,12 +62,12 @@ def validate_batch(tables: Mapping[str, DataFrame], expected_counts: DataFrame,
     checks = measures[0]
     for other in measures[1:]:
         checks = checks.unionByName(other)
-    counts = checks.filter(F.col("check") == "row_count").join(
-        expected_counts, "object", "full_outer").select(
-            F.lit("row_count").alias("check"), "object",
-            F.abs(F.coalesce("failures", F.lit(0)) - F.coalesce("expected", F.lit(0)))
-            .alias("failures"))
-    result = checks.filter(F.col("check") != "row_count").unionByName(counts)
+    expected = expected_counts.select(F.lit("row_count").alias("check"), "object", "expected")
+    off_by = F.abs(F.coalesce("failures", F.lit(0)) - F.coalesce("expected", F.lit(0)))
+    result = checks.join(expected, ["check", "object"], "full_outer").select(
+        "check", "object",
+        F.when(F.col("check") == "row_count", off_by).otherwise(F.col("failures"))
+        .alias("failures"))
     if first_batch:
         for child, column, parent in BATCH_REFERENCES:
             if child in tables and parent in tables:

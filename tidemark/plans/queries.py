@@ -89,15 +89,20 @@ def _lazy_silver(spark: SparkSession, folder: str, *tables: str) -> dict[str, Da
     return {t: _valid(spark, folder, t) for t in tables}
 
 
-def _written_silver(spark: SparkSession, folder: str, *tables: str) -> dict[str, DataFrame]:
-    """Valid rows of the tables, each written in one pass; parents go first."""
+def _written_silver(spark: SparkSession, folder: str, *tables: str,
+                    **columns: tuple[str, ...]) -> dict[str, DataFrame]:
+    """Valid rows of the tables, each written in one pass; parents go first.
+
+    ``columns`` limits a table to those the query goes on to use.
+    """
     silver: dict[str, DataFrame] = {}
 
     def write(table: str) -> None:
         entity = BY_TABLE[table]
         parent = silver[entity.parent[0]] if entity.parent else None
         flagged = flag_entity(fixtures.BUILDERS[entity.source](spark, folder), entity, parent)
-        silver[table] = materialise(valid_rows(flagged), f"silver-{table}")
+        rows = valid_rows(flagged).select(*columns.get(table, ["*"]))
+        silver[table] = materialise(rows, f"silver-{table}")
 
     for wave in ([t for t in tables if not BY_TABLE[t].parent],
                  [t for t in tables if BY_TABLE[t].parent]):
@@ -108,7 +113,12 @@ def _written_silver(spark: SparkSession, folder: str, *tables: str) -> dict[str,
 def _profile(spark: SparkSession, folder: str) -> DataFrame:
     return profile.customer_risk_profile(_written_silver(
         spark, folder, "transactions", "transaction_risk", "sessions", "devices",
-        "fraud_alerts"))
+        "fraud_alerts",
+        transactions=("TransactionID", "CustomerID", "TransactionTimestamp", "Amount"),
+        transaction_risk=("TransactionID", "RiskScore"),
+        sessions=("CustomerID", "DeviceID", "LoginTimestamp", "FailedAttempts", "Country"),
+        devices=("CustomerID", "Trusted"),
+        fraud_alerts=("CustomerID", "AlertID")))
 
 
 def _written_profile(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,9 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
-# Needed for right results, so set on every session the library is handed.
+# Set on every session the library is handed: the time zone for right results,
+# run-time planning so that joins with hot keys are split.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import SOURCE_COLUMNS
+from tidemark.session import concurrently
 
 # Fixed value: the only manifest classification that may be loaded.
 CLASSIFICATION = "SYNTHETIC_TEST_DATA"
@@ -79,11 +80,13 @@ def write_batch(tables: Mapping[str, DataFrame], batch_folder: str, batch: str,
     Rows are counted in the tables handed in, so the manifest is a check on the
     files and not a description of them.
     """
-    counts = {}
-    for table, df in tables.items():
+    def write(table: str, df: DataFrame) -> int:
         text = df.select(*[F.col(c).cast("string").alias(c) for c in SOURCE_COLUMNS[table]])
         text.write.option("header", True).option("escape", '"').csv(f"{batch_folder}/{table}.csv")
-        counts[table] = df.count()
+        return df.count()
+
+    counts = concurrently({table: lambda table=table, df=df: write(table, df)
+                           for table, df in tables.items()})
     spark = next(iter(tables.values())).sparkSession
     struct = ", ".join(f"{t}: bigint" for t in counts)
     manifest = spark.createDataFrame(

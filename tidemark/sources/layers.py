@@ -103,6 +103,26 @@ class LayerStore:
             changes = upsert(self.read(layer, table), changes, keys)
         return self.replace(changes, layer, table)
 
+    def remove_superseded(self, layer: str, table: str, keep: int = 1) -> int:
+        """Delete written locations the table no longer points at.
+
+        Keeps the current one and the ``keep`` newest before it, for readers that
+        are still on them; returns the number of folders deleted.
+        """
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        if not files.exists(folder):
+            return 0
+        detail = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
+        current = detail.filter(F.col("col_name") == "Location").first()["data_type"]
+        old = sorted((s for s in files.listStatus(folder)
+                      if s.getPath().getName() not in current.split("/")),
+                     key=lambda s: s.getModificationTime(), reverse=True)
+        for status in old[keep:]:
+            files.delete(status.getPath(), True)
+        return len(old[keep:])
+
     def _create_database(self, layer: str) -> None:
         if layer in self._databases:
             return

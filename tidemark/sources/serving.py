@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import GOLD_TABLES
 from tidemark.operators.secure import MASKS, PROTECTED_BAND, add_investigator
+from tidemark.session import concurrently
 from tidemark.sources.layers import LayerStore
 
 LAYER = "serving"
@@ -15,13 +16,18 @@ COPIED = ("DimCustomer", "DimDevice", "AggCustomerRiskProfile")
 
 
 def publish_tables(store: LayerStore, layer: str = "published") -> DataFrame:
-    """Copy every gold object in order, each as a full replacement.
+    """Publish a copy of every gold object in order, each a full replacement.
 
-    Returns ``(execution_order, object_name, row_count)``.
+    The copies are made side by side and become visible in publishing order, so
+    a repeated run cannot double a fact.  Returns ``(execution_order,
+    object_name, row_count)``.
     """
+    sources = {name: store.read("gold", name) for name in GOLD_TABLES}
+    copies = concurrently({name: lambda name=name, df=df: store.stage(df, layer, name)
+                           for name, df in sources.items()})
     counts = []
     for order, name in enumerate(GOLD_TABLES, start=1):
-        store.replace(store.read("gold", name), layer, name)
+        store.switch(layer, name, sources[name].schema, copies[name])
         counts.append((order, name, store.count(layer, name)))
     return store.spark.createDataFrame(
         counts, "execution_order int, object_name string, row_count bigint")
@@ -38,10 +44,13 @@ def refresh_serving(store: LayerStore) -> int:
     if not store.exists(LAYER, INVESTIGATORS):
         empty = store.spark.createDataFrame([], "PrincipalName string")
         store.replace(empty, LAYER, INVESTIGATORS)
+    sources = {name: store.read("gold", name) for name in COPIED}
+    copies = concurrently({name: lambda name=name, df=df: store.stage(df, LAYER, f"_base_{name}")
+                           for name, df in sources.items()})
     rows = 0
     for name in COPIED:
         store.spark.sql(f"DROP VIEW IF EXISTS {store.name(LAYER, name)}")
-        store.replace(store.read("gold", name), LAYER, f"_base_{name}")
+        store.switch(LAYER, f"_base_{name}", sources[name].schema, copies[name])
         rows += store.count(LAYER, f"_base_{name}")
     for name in GOLD_TABLES:
         store.spark.sql(
