@@ -232,12 +232,11 @@ GOLD_TABLES: tuple[str, ...] = (
     "FactTransactions", "FactDigitalSessions", "FactFraudAlerts", "AggCustomerRiskProfile",
 )
 
-AUDIT_SCHEMA = (
-    "pipeline_run_id string NOT NULL, run_date string, stage string NOT NULL, "
-    "status string NOT NULL, rows_read bigint NOT NULL, rows_written bigint NOT NULL, "
-    "started_at timestamp NOT NULL, ended_at timestamp NOT NULL, "
-    "duration_seconds bigint NOT NULL, error_message string"
-)
+AUDIT_COLUMNS: Mapping[str, str] = {
+    "pipeline_run_id": "string", "run_date": "string", "stage": "string", "status": "string",
+    "rows_read": "bigint", "rows_written": "bigint", "started_at": "timestamp",
+    "ended_at": "timestamp", "duration_seconds": "bigint", "error_message": "string",
+}
 
 VALIDATION_SCHEMA = (
     "pipeline_run_id string, run_date string, source string, object string, "

@@ -73,11 +73,11 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Colu
     return numbered.filter(F.col("_row_number") == 1).drop("_row_number")
 
 
-def latest_conformed(df: DataFrame, entity: Entity) -> DataFrame:
+def latest_conformed(df: DataFrame, entity: Entity, keep_partitioning: bool = False) -> DataFrame:
     """Conform first, then keep the latest row of each conformed key."""
     order = [batch_rank(c) if c == "SourceBatch" else c for c in entity.newest_first]
     return latest(conform(df, entity), [entity.key], order,
-                  keep_partitioning=entity.parent is not None)
+                  keep_partitioning)
 
 
 def lineage_columns(run: RunInfo, source_system: str | Column,

@@ -54,15 +54,19 @@ def split_quality(df: DataFrame, rules: Mapping[str, str | Column],
 
 
 def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
-                detail: bool = False) -> DataFrame:
+                detail: bool = False, check_parent: bool = True,
+                joined_next: bool = False) -> DataFrame:
     """Latest conformed rows of an entity with their verdict.
 
     For an entity with a parent, ``parent`` holds the parent's valid rows; a
-    row whose parent was itself quarantined is quarantined too.
+    row whose parent was itself quarantined is quarantined too.  A plan that
+    only joins the rows to valid parents makes that check by its join and may
+    leave it out here.  ``joined_next`` says that the plan goes on to join on the
+    entity's key, so the rows should stay partitioned by it.
     """
-    rows = latest_conformed(raw, entity)
+    rows = latest_conformed(raw, entity, joined_next or entity.parent is not None)
     rules: dict[str, str | Column] = dict(entity.rules)
-    if entity.parent is None:
+    if entity.parent is None or not check_parent:
         return flag_quality(rows, rules, entity.reason, detail)
     if parent is None:
         raise ValueError(f"{entity.table} needs the valid rows of {entity.parent[0]}")

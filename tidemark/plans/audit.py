@@ -7,7 +7,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from tidemark.contracts import AUDIT_SCHEMA
+from pyspark.sql import functions as F
+
+from tidemark.contracts import AUDIT_COLUMNS
 from tidemark.operators.conform import RunInfo
 from tidemark.sources.layers import LayerStore
 
@@ -35,8 +37,10 @@ class RunLog:
         row = (self.run.run_id, self.run.run_date, stage, status, counts.rows_read,
                counts.rows_written, started, ended, int((ended - started).total_seconds()),
                error[:LONGEST_MESSAGE] if error else None)
-        changes = self.store.spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1)
-        self.store.merge(changes, "control", LOG_TABLE, LOG_KEY)
+        changes = self.store.spark.range(1, numPartitions=1).select(*[
+            F.lit(value).cast(kind).alias(name)
+            for value, (name, kind) in zip(row, AUDIT_COLUMNS.items(), strict=True)])
+        self.store.merge(changes, "control", LOG_TABLE, LOG_KEY, check=False)
 
     @contextmanager
     def stage(self, name: str, announce: bool = False) -> Iterator[StageCounts]:

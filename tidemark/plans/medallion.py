@@ -15,7 +15,7 @@ from tidemark.operators.quality import FLAG, REASON, flag_entity
 from tidemark.operators.validation import Loaders, raise_on_failure, validate_sources
 from tidemark.plans.audit import RunLog
 from tidemark.session import concurrently
-from tidemark.sources.layers import LayerStore
+from tidemark.sources.layers import Buckets, LayerStore
 from tidemark.sources.serving import refresh_serving
 
 VALIDATION_TABLE = "source_validation_results"
@@ -25,16 +25,26 @@ RESULT_KEY = ("pipeline_run_id", "source", "object")
 
 @dataclass(frozen=True)
 class Settings:
-    """``partitions`` maps a gold table to the columns its files are split by,
-    for example ``{"FactTransactions": ("DateKey",)}``."""
+    """Options of a run.
+
+    ``partitions`` maps a gold table to the columns its files are split by, for
+    example ``{"FactTransactions": ("DateKey",)}``.  ``buckets`` hashes silver
+    transactions and scores by their shared key, so that gold joins them without
+    moving either; set it to ``spark.sql.shuffle.partitions``.
+    """
 
     run: RunInfo = RunInfo()
     source_system: str = "source"
     keep_unknown_accounts: bool = False
     dates_cover_alerts: bool = False
     partitions: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    buckets: int = 0
     workers: int = 4
 
+    def bucketing(self, entity: Entity) -> Buckets | None:
+        shared = entity.parent or any(e.parent and e.parent[0] == entity.table for e in ENTITIES)
+        return Buckets(entity.key, self.buckets) if self.buckets and shared else None
+
 
 def land_sources(store: LayerStore, tables: Mapping[str, DataFrame], workers: int = 4) -> None:
     concurrently({name: lambda name=name, df=df: store.replace(df, "bronze", name)
@@ -60,17 +70,19 @@ def build_silver(store: LayerStore, raw: Mapping[str, DataFrame], settings: Sett
             location, rows = layouts[entity.parent[0]]
             parent = store.spark.read.schema(rows.schema).format(store.fmt).load(
                 location).filter(F.col(FLAG))
-        flagged = flag_entity(raw[entity.source], entity, parent)
+        buckets = settings.bucketing(entity)
+        flagged = flag_entity(raw[entity.source], entity, parent, joined_next=bool(buckets))
         system = F.when(F.col(FLAG), settings.source_system).otherwise("quality")
         flagged = with_lineage(flagged, settings.run, system)
-        layouts[entity.table] = (store.stage_flagged(flagged, "silver", entity.table), flagged)
+        layouts[entity.table] = (
+            store.stage_flagged(flagged, "silver", entity.table, buckets), flagged)
 
     for wave in ([e for e in entities if not e.parent], [e for e in entities if e.parent]):
         concurrently({e.table: lambda e=e: write(e) for e in wave}, settings.workers)
     for entity in entities:
         location, rows = layouts[entity.table]
         store.switch("silver", entity.table, rows.drop(FLAG, REASON).schema,
-                     store.half(location, True))
+                     store.half(location, True), buckets=settings.bucketing(entity))
         store.switch("silver", entity.quarantine, rows.drop(FLAG).schema,
                      store.half(location, False))
     return sum(store.count("silver", e.table) for e in entities)

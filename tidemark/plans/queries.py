@@ -75,50 +75,58 @@ def _without_keys(df: DataFrame) -> DataFrame:
 
 # --- silver, lazy or written once ------------------------------------------
 
-def _flagged(spark: SparkSession, folder: str, table: str) -> DataFrame:
+def _flagged(spark: SparkSession, folder: str, table: str,
+             joined_next: bool = False) -> DataFrame:
     entity = BY_TABLE[table]
-    parent = _valid(spark, folder, entity.parent[0]) if entity.parent else None
-    return flag_entity(fixtures.BUILDERS[entity.source](spark, folder), entity, parent)
+    parent = None
+    if entity.parent:
+        parent = valid_rows(_flagged(spark, folder, entity.parent[0], joined_next=True))
+    return flag_entity(fixtures.BUILDERS[entity.source](spark, folder), entity, parent,
+                       joined_next=joined_next)
 
 
-def _valid(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return valid_rows(_flagged(spark, folder, table))
+def _valid(spark: SparkSession, folder: str, table: str,
+           joined_next: bool = False) -> DataFrame:
+    return valid_rows(_flagged(spark, folder, table, joined_next))
 
 
-def _lazy_silver(spark: SparkSession, folder: str, *tables: str) -> dict[str, DataFrame]:
-    return {t: _valid(spark, folder, t) for t in tables}
+def _lazy_silver(spark: SparkSession, folder: str, *tables: str,
+                 joined_next: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    return {t: _valid(spark, folder, t, t in joined_next) for t in tables}
 
 
 def _written_silver(spark: SparkSession, folder: str, *tables: str,
                     **columns: tuple[str, ...]) -> dict[str, DataFrame]:
-    """Valid rows of the tables, each written in one pass; parents go first.
+    """Valid rows of the tables, each written in one pass, side by side.
 
     ``columns`` limits a table to those the query goes on to use.
     """
-    silver: dict[str, DataFrame] = {}
+    def write(table: str) -> DataFrame:
+        rows = _valid(spark, folder, table).select(*columns.get(table, ["*"]))
+        return materialise(rows, f"silver-{table}")
 
-    def write(table: str) -> None:
-        entity = BY_TABLE[table]
-        parent = silver[entity.parent[0]] if entity.parent else None
-        flagged = flag_entity(fixtures.BUILDERS[entity.source](spark, folder), entity, parent)
-        rows = valid_rows(flagged).select(*columns.get(table, ["*"]))
-        silver[table] = materialise(rows, f"silver-{table}")
+    return concurrently({t: lambda t=t: write(t) for t in tables})
 
-    for wave in ([t for t in tables if not BY_TABLE[t].parent],
-                 [t for t in tables if BY_TABLE[t].parent]):
-        concurrently({t: lambda t=t: write(t) for t in wave})
-    return silver
+
+def _scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores in range, for plans that join them to valid transactions only."""
+    entity = BY_TABLE["transaction_risk"]
+    return valid_rows(flag_entity(fixtures.transaction_risk(spark, folder), entity,
+                                  check_parent=False))
+
+
+PROFILE_COLUMNS = ("TransactionID", "CustomerID", "TransactionTimestamp", "Amount")
 
 
 def _profile(spark: SparkSession, folder: str) -> DataFrame:
-    return profile.customer_risk_profile(_written_silver(
-        spark, folder, "transactions", "transaction_risk", "sessions", "devices",
-        "fraud_alerts",
-        transactions=("TransactionID", "CustomerID", "TransactionTimestamp", "Amount"),
-        transaction_risk=("TransactionID", "RiskScore"),
+    silver = _written_silver(
+        spark, folder, "transactions", "sessions", "devices", "fraud_alerts",
+        transactions=PROFILE_COLUMNS,
         sessions=("CustomerID", "DeviceID", "LoginTimestamp", "FailedAttempts", "Country"),
         devices=("CustomerID", "Trusted"),
-        fraud_alerts=("CustomerID", "AlertID")))
+        fraud_alerts=("CustomerID", "AlertID"))
+    silver["transaction_risk"] = _scores(spark, folder)
+    return profile.customer_risk_profile(silver)
 
 
 def _written_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -310,7 +318,8 @@ def audit_log_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def orphan_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _lazy_silver(spark, folder, "fraud_alerts", "transactions")
+    silver = _lazy_silver(spark, folder, "fraud_alerts", "transactions",
+                          joined_next=("transactions",))
     return reconcile.orphan_alerts(silver["fraud_alerts"], silver["transactions"]).select(
         "AlertID", "TransactionID")
 
@@ -341,7 +350,9 @@ def dim_date(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def fact_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _written_silver(spark, folder, "transactions", "transaction_risk", "merchants")
+    silver = _lazy_silver(spark, folder, "transactions", "merchants",
+                          joined_next=("transactions",))
+    silver["transaction_risk"] = _scores(spark, folder)
     return _without_keys(star.fact_transactions(silver, natural_keys=True))
 
 
@@ -377,7 +388,9 @@ def _rounded_average(df: DataFrame) -> DataFrame:
 
 @registered
 def txn_profile_30d(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _written_silver(spark, folder, "transactions", "transaction_risk")
+    silver = _written_silver(spark, folder, "transactions",
+                             transactions=PROFILE_COLUMNS)
+    silver["transaction_risk"] = _scores(spark, folder)
     last = silver["transactions"].agg(F.to_date(F.max("TransactionTimestamp"))).first()[0]
     return _rounded_average(profile.transaction_profile(silver, last))
 
@@ -418,16 +431,18 @@ def risk_band_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def alert_drillthrough(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _written_silver(spark, folder, "transactions", "transaction_risk", "merchants")
-    silver |= _lazy_silver(spark, folder, "fraud_alerts")
+    silver = _lazy_silver(spark, folder, "transactions", "merchants", "fraud_alerts")
+    silver["transaction_risk"] = _scores(spark, folder)
     return consume.alert_drillthrough(
         star.fact_alerts(silver), star.fact_transactions(silver), star.dim_merchant(silver))
 
 
 @registered
 def suspicious_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _written_silver(spark, folder, "transactions", "transaction_risk", "sessions")
-    silver |= _lazy_silver(spark, folder, "merchants", "devices", "fraud_alerts")
+    silver = _written_silver(spark, folder, "sessions")
+    silver |= _lazy_silver(spark, folder, "transactions", "merchants", "devices",
+                           "fraud_alerts", joined_next=("transactions",))
+    silver["transaction_risk"] = _scores(spark, folder)
     last = silver["sessions"].agg(F.to_date(F.max("LoginTimestamp"))).first()[0]
     return consume.suspicious_transactions(silver, profile.session_profile(silver, last))
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,15 @@ from tidemark.operators.quality import FLAG
 from tidemark.operators.upsert import upsert
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Files hashed by ``column`` into ``number`` buckets; tables bucketed alike
+    join on the column without a shuffle."""
+
+    column: str
+    number: int
+
+
 class LayerStore:
     """Tables of the layers ``bronze``, ``silver``, ``gold`` and ``control``.
 
@@ -61,20 +71,20 @@ class LayerStore:
         return location
 
     def switch(self, layer: str, table: str, schema: T.StructType, location: str,
-               partition_by: Sequence[str] = ()) -> None:
+               partition_by: Sequence[str] = (), buckets: Buckets | None = None) -> None:
         """Point the table at a written location, whatever its schema was before."""
         self._create_database(layer)
         name = self.name(layer, table)
-        if not partition_by and self.exists(layer, table):
-            now = self.spark.table(name).schema
-            if [(f.name, f.dataType) for f in now] == [(f.name, f.dataType) for f in schema]:
-                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-                return
+        if not partition_by and not buckets and self._is_plain(layer, table, schema):
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+            return
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         layout = ""
         if partition_by:
             layout = "PARTITIONED BY (" + ", ".join(f"`{c}`" for c in partition_by) + ")"
+        if buckets:
+            layout += f" CLUSTERED BY (`{buckets.column}`) INTO {buckets.number} BUCKETS"
         self.spark.sql(
             f"CREATE TABLE {name} ({columns}) USING {self.fmt} {layout} LOCATION '{location}'")
         if partition_by:
@@ -86,10 +96,25 @@ class LayerStore:
         self.switch(layer, table, df.schema, location, partition_by)
         return self.read(layer, table)
 
-    def stage_flagged(self, df: DataFrame, layer: str, table: str) -> str:
-        """Write valid and quarantined rows in one pass, told apart by folder."""
-        location = f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
-        df.write.format(self.fmt).partitionBy(FLAG).save(location)
+    def stage_flagged(self, df: DataFrame, layer: str, table: str,
+                      buckets: Buckets | None = None) -> str:
+        """Write valid and quarantined rows in one pass, told apart by folder.
+
+        Bucketed rows should already be partitioned by the bucket column into as
+        many partitions as there are buckets, so that a task writes whole
+        buckets and not a piece of each.
+        """
+        version = uuid.uuid4().hex
+        location = f"{self.root}/{layer}/{table}/{version}"
+        writer = df.write.format(self.fmt).partitionBy(FLAG)
+        if not buckets:
+            writer.save(location)
+            return location
+        # Spark writes buckets for catalog tables only; the entry goes, the files stay.
+        self._create_database(layer)
+        entry = self.name(layer, f"staged_{table}_{version}")
+        writer.bucketBy(buckets.number, buckets.column).option("path", location).saveAsTable(entry)
+        self.spark.sql(f"DROP TABLE {entry}")
         return location
 
     @staticmethod
@@ -97,10 +122,10 @@ class LayerStore:
         return f"{location}/{FLAG}={str(valid).lower()}"
 
     def merge(self, changes: DataFrame, layer: str, table: str,
-              keys: Sequence[str]) -> DataFrame:
+              keys: Sequence[str], check: bool = True) -> DataFrame:
         """Create the table from the changes, or upsert them by key."""
         if self.exists(layer, table):
-            changes = upsert(self.read(layer, table), changes, keys)
+            changes = upsert(self.read(layer, table), changes, keys, check)
         return self.replace(changes, layer, table)
 
     def remove_superseded(self, layer: str, table: str, keep: int = 1) -> int:
@@ -123,6 +148,16 @@ class LayerStore:
             files.delete(status.getPath(), True)
         return len(old[keep:])
 
+    def _is_plain(self, layer: str, table: str, schema: T.StructType) -> bool:
+        """Whether the table has this schema and neither partitions nor buckets."""
+        if not self.exists(layer, table):
+            return False
+        columns = self.spark.catalog.listColumns(self.name(layer, table))
+        if any(c.isPartition or c.isBucket for c in columns):
+            return False
+        now = self.read(layer, table).schema
+        return [(f.name, f.dataType) for f in now] == [(f.name, f.dataType) for f in schema]
+
     def _create_database(self, layer: str) -> None:
         if layer in self._databases:
             return
