@@ -10,7 +10,6 @@ from tidemark.operators import profile, reconcile, secure, star
 from tidemark.operators.conform import latest
 from tidemark.operators.quality import flag_entity
 from tidemark.operators.scan import scan_text
-from tidemark.plans.queries import REGISTRY
 from tidemark.session import materialise
 from tidemark.sources import fixtures
 from tests.conftest import DATA
@@ -159,13 +158,6 @@ def test_a_hot_customer_and_a_hot_merchant_give_whole_results(spark):
     assert star.dim_account(tables).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(REGISTRY))
-def test_no_registered_query_uses_a_cross_join(spark, name):
-    plan = physical(REGISTRY[name](spark, FOLDER))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-
-
 def test_bucketed_silver_joins_without_moving_either_side(spark, store, small_broadcasts_off):
     from tidemark.plans.medallion import Settings, build_silver, silver_tables
     raw = {name: materialise(build(spark, FOLDER), "raw")
