@@ -180,3 +180,42 @@ def test_bucketed_silver_joins_without_moving_either_side(spark, store, small_br
         store.spark.createDataFrame(joined.collect(), joined.schema).select("TransactionID")
         .join(again["transaction_risk"], "TransactionID").select(
             *again["transaction_risk"].columns)).isEmpty()
+
+
+@pytest.fixture
+def small_data_counts_as_skewed(spark, small_broadcasts_off):
+    changed = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {name: spark.conf.get(name, None) for name in changed}
+    for name, value in changed.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
+
+
+def test_a_hot_merchant_is_split_over_tasks(spark, small_data_counts_as_skewed):
+    n = 60_000
+    fact = materialise(spark.range(n).select(
+        "id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
+            F.concat(F.lit("M"), F.col("id").cast("string"))).alias("MerchantID"))
+        .repartition(6), "fact")
+    merchants = materialise(spark.range(n).select(
+        F.when(F.col("id") == 0, "hot").otherwise(
+            F.concat(F.lit("M"), F.col("id").cast("string"))).alias("MerchantID"),
+        F.col("id").alias("MerchantSK")), "merchants")
+    joined = star.lookup_key(fact, merchants, "MerchantID", "MerchantSK")
+    assert len(joined.collect()) == n
+    assert "SortMergeJoin(skew=true)" in physical(joined)
+
+
+def test_partitioned_writes_are_rebalanced(spark):
+    df = spark.range(100).withColumn("d", F.col("id") % 3)
+    assert "REBALANCE_PARTITIONS_BY_COL" in physical(df.hint("rebalance", F.col("d")))

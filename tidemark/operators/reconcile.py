@@ -15,12 +15,13 @@ def _count(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def _removed_copies(raw: DataFrame, key: str) -> Column:
-    """Rows that are further copies of a key, after trimming; NULL is one key.
+def _removed_copies(raw: DataFrame, entity: Entity) -> Column:
+    """Rows that are further copies of a conformed key; NULL is one key.
 
     Counted from the source alone, independently of what silver kept.
     """
-    keys = raw.select(F.trim(F.col(key).cast("string")).alias("k"))
+    key = F.col(entity.source_key).cast("string")
+    keys = raw.select((F.trim(key) if entity.source_key in entity.trimmed else key).alias("k"))
     distinct = F.count_distinct("k") + F.max(F.when(F.col("k").isNull(), 1).otherwise(0))
     return keys.agg(F.count("*") - F.coalesce(distinct, F.lit(0))).scalar()
 
@@ -32,7 +33,7 @@ def reconcile_entity(one_row: DataFrame, run: RunInfo, entity: Entity, raw: Data
     both have the same grain."""
     counts = one_row.select(
         _count(raw).alias("source_count"),
-        _removed_copies(raw, entity.source_key).alias("duplicate_count"),
+        _removed_copies(raw, entity).alias("duplicate_count"),
         _count(silver).alias("silver_count"),
         _count(quarantine).alias("quarantine_count"),
         (_count(gold) if gold is not None else F.lit(None).cast("bigint")).alias("gold_count"),
