@@ -219,3 +219,31 @@ def test_a_hot_merchant_is_split_over_tasks(spark, small_data_counts_as_skewed):
 def test_partitioned_writes_are_rebalanced(spark):
     df = spark.range(100).withColumn("d", F.col("id") % 3)
     assert "REBALANCE_PARTITIONS_BY_COL" in physical(df.hint("rebalance", F.col("d")))
+
+
+@pytest.mark.parametrize("buckets", [0, 8])
+def test_silver_files_are_sorted_by_event_time(spark, store, buckets):
+    import pyarrow.parquet as pq
+    from tidemark.plans.medallion import Settings, build_silver
+    raw = {name: materialise(build(spark, FOLDER), "raw")
+           for name, build in fixtures.BUILDERS.items()}
+    build_silver(store, raw, Settings(buckets=buckets))
+    for file in store.read("silver", "transactions").inputFiles():
+        times = pq.read_table(file.removeprefix("file://"), columns=["TransactionTimestamp"])
+        values = times.column(0).to_pylist()
+        assert values == sorted(values)
+
+
+def test_a_date_range_skips_most_of_the_sorted_files(spark, store):
+    from tidemark.contracts import TRANSACTIONS
+    from tidemark.plans.medallion import Settings, build_silver
+    raw = {"TRANSACTIONS": fixtures.transactions(spark, f"{DATA}/sf0.01")}
+    total = build_silver(store, raw, Settings(), [TRANSACTIONS])
+    tables = {"transactions": store.read("silver", "transactions")}
+    last = tables["transactions"].agg(F.to_date(F.max("TransactionTimestamp"))).first()[0]
+    recent = tables["transactions"].filter(
+        profile.within_window("TransactionTimestamp", last)).select("CustomerID")
+    assert len(recent.collect()) == 701
+    scan = recent._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert total == 44_816
+    assert scan.metrics().get("numOutputRows").get().value() < total / 2

@@ -127,6 +127,12 @@ class Entity:
     def key(self) -> str:
         return self.conformed_name(self.source_key)
 
+    @property
+    def event_time(self) -> str | None:
+        """The timestamp that orders the rows, where there is one."""
+        times = {self.conformed_name(c) for c, t in self.columns.items() if t == "timestamp"}
+        return self.newest_first[0] if self.newest_first[0] in times else None
+
     def conformed_name(self, source_column: str) -> str:
         if source_column in self.renamed:
             return self.renamed[source_column]
@@ -142,6 +148,7 @@ def pascal_case(name: str) -> str:
     return "".join(w if w in ("ID", "JSON") else w.capitalize() for w in name.split("_"))
 
 
+# Fixed values below: table names, rules with their bounds, and reason texts.
 TRANSACTIONS = Entity(
     source="TRANSACTIONS",
     table="transactions",

@@ -75,7 +75,8 @@ def build_silver(store: LayerStore, raw: Mapping[str, DataFrame], settings: Sett
         system = F.when(F.col(FLAG), settings.source_system).otherwise("quality")
         flagged = with_lineage(flagged, settings.run, system)
         layouts[entity.table] = (
-            store.stage_flagged(flagged, "silver", entity.table, buckets), flagged)
+            store.stage_flagged(flagged, "silver", entity.table, buckets, entity.event_time),
+            flagged)
 
     for wave in ([e for e in entities if not e.parent], [e for e in entities if e.parent]):
         concurrently({e.table: lambda e=e: write(e) for e in wave}, settings.workers)

@@ -12,16 +12,19 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
 # Set on every session the library is handed: the time zone for right results,
-# run-time planning so that joins with hot keys are split.
+# run-time planning so that joins with hot keys are split, and timestamps written
+# as integers, since the default layout carries no statistics to skip by.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 
@@ -66,8 +69,9 @@ def concurrently(tasks: dict[str, Callable[[], object]], workers: int = 4) -> di
     """Run independent Spark actions side by side; the first error is raised.
 
     Small writes then share the cluster instead of queueing behind each other's
-    last tasks.
+    last tasks.  The threads keep the caller's job group and pool.
     """
+    keep = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=max(1, workers)) as pool:
-        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        futures = {name: pool.submit(keep(task)) for name, task in tasks.items()}
         return {name: future.result() for name, future in futures.items()}

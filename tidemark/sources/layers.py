@@ -97,23 +97,29 @@ class LayerStore:
         return self.read(layer, table)
 
     def stage_flagged(self, df: DataFrame, layer: str, table: str,
-                      buckets: Buckets | None = None) -> str:
+                      buckets: Buckets | None = None, sort_by: str | None = None) -> str:
         """Write valid and quarantined rows in one pass, told apart by folder.
 
+        Files are sorted by ``sort_by`` within each task (no shuffle), so that a
+        date range later skips most pages of every file by their statistics.
         Bucketed rows should already be partitioned by the bucket column into as
         many partitions as there are buckets, so that a task writes whole
         buckets and not a piece of each.
         """
         version = uuid.uuid4().hex
         location = f"{self.root}/{layer}/{table}/{version}"
-        writer = df.write.format(self.fmt).partitionBy(FLAG)
         if not buckets:
-            writer.save(location)
+            order = [FLAG, sort_by] if sort_by else [FLAG]
+            df.sortWithinPartitions(*order).write.format(self.fmt).partitionBy(FLAG).save(location)
             return location
         # Spark writes buckets for catalog tables only; the entry goes, the files stay.
         self._create_database(layer)
         entry = self.name(layer, f"staged_{table}_{version}")
-        writer.bucketBy(buckets.number, buckets.column).option("path", location).saveAsTable(entry)
+        writer = df.write.format(self.fmt).partitionBy(FLAG).bucketBy(
+            buckets.number, buckets.column)
+        if sort_by:
+            writer = writer.sortBy(sort_by)
+        writer.option("path", location).saveAsTable(entry)
         self.spark.sql(f"DROP TABLE {entry}")
         return location
 
