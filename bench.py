@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.plans.queries import REGISTRY  # noqa: E402
+from tidemark.session import discard_intermediates  # noqa: E402
 
 HEADLINE = (
     "customer_risk_profile", "latest_transactions", "quality_split_transactions",
@@ -58,6 +59,7 @@ def main() -> None:
         "metric": "headline queries, total wall time", "value": round(sum(seconds.values()), 3),
         "unit": "sec", "queries": seconds, "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
     }))
+    discard_intermediates(spark)
     spark.stop()
 
 

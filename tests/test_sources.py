@@ -214,3 +214,15 @@ def test_fixture_mapping_has_bad_rows_for_every_rule(spark):
     folder = f"{DATA}/sf0.01"
     assert fixtures.merchants(spark, folder).filter("MERCHANT_NAME IS NULL").count() == 6
     assert fixtures.sessions(spark, folder).filter("DEVICE_ID IS NULL").count() == 118
+
+
+def test_intermediates_are_discarded(spark):
+    from tidemark import session
+    kept, session._locations[:] = list(session._locations), []
+    df = session.materialise(spark.range(5), "gone")
+    assert df.count() == 5
+    location = session._locations[0]
+    assert session.discard_intermediates(spark) == 1
+    files, path = session.file_system(spark, location)
+    assert not files.exists(path)
+    session._locations.extend(kept)

@@ -15,6 +15,7 @@ from tidemark.contracts import (
     VALIDATION_SCHEMA,
 )
 from tidemark.operators.conform import RunInfo
+from tidemark.session import concurrently
 
 Loaders = Mapping[str, Callable[[], DataFrame]]
 
@@ -27,21 +28,22 @@ def validate_sources(spark: SparkSession, loaders: Loaders, run: RunInfo,
                      source: str = "source") -> DataFrame:
     """One row per expected object: PASS if it is readable, not empty and has
     its required columns.  An object that cannot be read is a FAIL row."""
-    results = []
-    for name, required in REQUIRED_COLUMNS.items():
+    def check(name: str) -> tuple:
         count = 0
         try:
             df = loaders[name]()
             count = df.count()
-            missing = sorted(set(required) - set(df.columns))
+            missing = sorted(set(REQUIRED_COLUMNS[name]) - set(df.columns))
             good = count > 0 and not missing
             notes = ("schema and read succeeded" if good
                      else f"row_count={count}; missing={missing}")
         except Exception as error:  # any read failure is a result, not a crash
             good, notes = False, f"read failed: {type(error).__name__}: {str(error)[:500]}"
-        results.append((run.run_id, run.run_date, source, name, count,
-                        "source_read_and_schema", "PASS" if good else "FAIL", notes))
-    return spark.createDataFrame(results, VALIDATION_SCHEMA)
+        return (run.run_id, run.run_date, source, name, count, "source_read_and_schema",
+                "PASS" if good else "FAIL", notes)
+
+    results = concurrently({name: lambda name=name: check(name) for name in REQUIRED_COLUMNS})
+    return spark.createDataFrame(list(results.values()), VALIDATION_SCHEMA)
 
 
 def raise_on_failure(results: DataFrame, what: str) -> None:

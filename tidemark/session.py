@@ -47,9 +47,31 @@ def shared_folder(spark: SparkSession) -> str:
     return own
 
 
+_locations: list[str] = []
+
+
 def fresh_location(spark: SparkSession, name: str) -> str:
     """A location below the shared folder that nothing has written to."""
-    return f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    location = f"{shared_folder(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    _locations.append(location)
+    return location
+
+
+def discard_intermediates(spark: SparkSession) -> int:
+    """Delete what this process wrote to the shared folder; returns the number of
+    locations.  Frames that read them can no longer be run."""
+    deleted = 0
+    while _locations:
+        files, path = file_system(spark, _locations.pop())
+        deleted += bool(files.delete(path, True))
+    return deleted
+
+
+def file_system(spark: SparkSession, location: str) -> tuple:
+    """The file system of a location, as Spark itself reaches it, and its path."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
 
 
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

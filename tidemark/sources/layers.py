@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.quality import FLAG
 from tidemark.operators.upsert import upsert
+from tidemark.session import file_system
 
 
 @dataclass(frozen=True)
@@ -140,9 +141,7 @@ class LayerStore:
         Keeps the current one and the ``keep`` newest before it, for readers that
         are still on them; returns the number of folders deleted.
         """
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{layer}/{table}")
-        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        files, folder = file_system(self.spark, f"{self.root}/{layer}/{table}")
         if not files.exists(folder):
             return 0
         detail = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}")
