@@ -58,6 +58,10 @@ def test_a_rerun_changes_nothing_but_clocks(spark, store):
     quarantined = store.read("silver", "quarantine_transactions").first()
     assert (quarantined.source_system, quarantined.quarantine_reason) == (
         "quality", "invalid key, timestamp, or amount")
+    device = store.read("gold", "DimDevice")
+    assert {"source_system", "silver_loaded_at", "gold_loaded_at", "DeviceSK"} <= set(device.columns)
+    assert "source_system" not in secure.allowed_columns(device).columns
+    assert len(secure.allowed_columns(device).columns) == 14
     # a second run keeps the first one's control rows
     run_medallion(store, bronze_loaders(store), Settings(run=RunInfo("run-b"),
                                                          dates_cover_alerts=True))

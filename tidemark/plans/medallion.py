@@ -90,9 +90,9 @@ def build_silver(store: LayerStore, raw: Mapping[str, DataFrame], settings: Sett
 
 
 def silver_tables(store: LayerStore) -> dict[str, DataFrame]:
-    """Silver without its lineage columns, which gold replaces with its own."""
-    lineage = ("source_system", "pipeline_run_id", "run_date", "silver_loaded_at")
-    return {e.table: store.read("silver", e.table).drop(*lineage) for e in ENTITIES}
+    """Silver as written.  The merchant and device dimensions keep its source and
+    load time; gold puts its own run in place of silver's."""
+    return {e.table: store.read("silver", e.table) for e in ENTITIES}
 
 
 def build_gold(store: LayerStore, settings: Settings) -> int:
