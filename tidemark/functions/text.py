@@ -35,7 +35,7 @@ def surrogate_key(natural_key: str | Column) -> Column:
     return F.xxhash64(natural_key)
 
 
-def stable_int(namespace: str, ordinal: Column, modulus: Column | int, salt: str) -> Column:
+def stable_int(namespace: str, ordinal: Column, modulus: int, salt: str) -> Column:
     """A reproducible integer in ``[0, modulus)`` for one named draw per ordinal.
 
     The leading 8 bytes of the SHA-256 of ``salt:namespace:ordinal``, read as an
@@ -43,11 +43,10 @@ def stable_int(namespace: str, ordinal: Column, modulus: Column | int, salt: str
     signed long, so it is reduced as two 32-bit halves; exact for moduli up to
     2^31.
     """
-    m = F.lit(modulus).cast("bigint") if isinstance(modulus, int) else modulus.cast("bigint")
     digest = F.sha2(F.concat(F.lit(f"{salt}:{namespace}:"), ordinal.cast("string")), 256)
     high = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
     low = F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint")
-    return ((high % m) * (F.lit(2**32) % m) + low % m) % m
+    return ((high % modulus) * (2**32 % modulus) + low % modulus) % modulus
 
 
 def pick(options: tuple[str, ...], index: Column) -> Column:

@@ -284,7 +284,9 @@ def source_validation(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def batch_validation(spark: SparkSession, folder: str) -> DataFrame:
     """Check the sources as a batch whose manifest counts the tables they map."""
-    tables = fixtures.source_tables(spark, folder)
+    tables = concurrently({
+        name: lambda name=name, df=df: materialise(df, f"batch-{name.lower()}")
+        for name, df in fixtures.source_tables(spark, folder).items()})
     expected = None
     for name, origin in (("TRANSACTIONS", "lineitem"), ("TRANSACTION_RISK", "lineitem"),
                          ("MERCHANTS", "supplier"), ("DIGITAL_SESSIONS", "events"),
@@ -431,7 +433,8 @@ def risk_band_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def alert_drillthrough(spark: SparkSession, folder: str) -> DataFrame:
-    silver = _lazy_silver(spark, folder, "transactions", "merchants", "fraud_alerts")
+    silver = _written_silver(spark, folder, "merchants", "fraud_alerts")
+    silver |= _lazy_silver(spark, folder, "transactions")
     silver["transaction_risk"] = _scores(spark, folder)
     return consume.alert_drillthrough(
         star.fact_alerts(silver), star.fact_transactions(silver), star.dim_merchant(silver))
@@ -450,7 +453,7 @@ def suspicious_transactions(spark: SparkSession, folder: str) -> DataFrame:
 # --- secured views ------------------------------------------------------------------
 
 def _investigators(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(INVESTIGATOR,)], "PrincipalName string")
+    return spark.range(1).select(F.lit(INVESTIGATOR).alias("PrincipalName"))
 
 
 @registered
@@ -494,11 +497,13 @@ def column_allowlist_devices(spark: SparkSession, folder: str) -> DataFrame:
 # --- synthetic rows for the ids of the given tables -----------------------------------
 
 def _derived_sizes(spark: SparkSession, folder: str) -> synthetic.Sizes:
-    def size(name: str) -> F.Column:
-        return fixtures.table(spark, folder, name).agg(F.count("*")).scalar()
+    """Id ranges as large as the given tables, counted from the file footers."""
+    sizes = concurrently({name: fixtures.table(spark, folder, name).count
+                          for name in ("orders", "customer", "supplier", "part", "events")})
     return synthetic.Sizes(
-        transactions=size("orders"), customers=size("customer"), merchants=size("supplier"),
-        devices=size("part"), sessions=size("events"), alerts=size("events"))
+        transactions=sizes["orders"], customers=sizes["customer"],
+        merchants=sizes["supplier"], devices=sizes["part"],
+        sessions=sizes["events"], alerts=sizes["events"])
 
 
 def _synthetic_query(source: str, table: str, column: str) -> Query:
