@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import html_text, licenses, line_dedup, quality
 from tidemark.llm.bpe import decode, encode
 from tidemark.llm.common import read
 from tidemark.llm.digests import ids_crc32, sha256
 from tidemark.llm.packing import pack
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_line_dedup": line_dedup.SQL, "op5_licenses": licenses.SQL}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -22,12 +23,33 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = read(spark, folder, "documents")
+    return quality.score(documents, quality.train(documents, read(spark, folder, "labels")))
+
+
 @query
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pack(read(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return ids_crc32(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+@query
+def op3_html(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(read(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.dedup_lines(read(spark, folder, "documents"))
+
+
+@query
+def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read(spark, folder, "documents"))
+
+
 @query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
