@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import html_text, licenses, line_dedup, quality
+from tidemark.llm import hnsw, html_text, jaccard, licenses, line_dedup, pq_dedup, quality, substring
 from tidemark.llm.bpe import decode, encode
 from tidemark.llm.common import read
 from tidemark.llm.digests import ids_crc32, sha256
@@ -50,6 +50,27 @@ def op5_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(read(spark, folder, "documents"))
 
 
+@query
+def op6_pq_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return pq_dedup.near_duplicates(read(spark, folder, "embeddings"))
+
+
+@query
+def op7_hnsw(spark: SparkSession, folder: str) -> DataFrame:
+    return hnsw.nearest(read(spark, folder, "embeddings"))
+
+
+@query
+def op8_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring.dedup_passages(read(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", sha256("kept_text").alias("kept_sha256"))
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar(read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
