@@ -25,7 +25,7 @@ HEADLINE = (
     "quality_split_risk", "fact_transactions", "fact_sessions", "dim_customer",
     "txn_profile_30d", "session_profile_30d", "suspicious_transactions", "alert_drillthrough",
     "risk_band_summary", "batch_validation", "reconciliation", "audit_log_upsert",
-    "csv_contract_load", "incremental_apply", "stream_upsert_events", "synthetic_transactions",
+    "csv_contract_load", "incremental_apply", "stream_upsert_events",
     "secret_scan_documents",
 )
 

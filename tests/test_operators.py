@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts as c
 from tidemark.functions.risk import risk_band
-from tidemark.functions.text import json_text, partial_mask, stable_int, zero_padded
+from tidemark.functions.text import json_text, partial_mask, zero_padded
 from tidemark.operators import consume, profile, reconcile, scan, secure, star
 from tidemark.operators.conform import (
     RunInfo,
@@ -179,10 +179,10 @@ def test_source_validation_reports_every_kind_of_failure(spark):
     }
     results = validate_sources(spark, loaders, RunInfo("r"))
     found = {r.object: (r.status, r.source_count, r.notes) for r in results.collect()}
-    assert found["MERCHANTS"] == ("PASS", 1, "schema and read succeeded")
+    assert found["MERCHANTS"] == ("PASS", 1, "readable and complete")
     assert found["DEVICES"][0] == "FAIL" and "DEVICE_ID" in found["DEVICES"][2]
     assert found["TRANSACTIONS"][:2] == ("FAIL", 0)
-    assert "read failed: AnalysisException" in found["FRAUD_ALERTS"][2]
+    assert "AnalysisException" in found["FRAUD_ALERTS"][2]
     assert len(found) == 6
     with pytest.raises(ValidationError, match="5 object"):
         raise_on_failure(results, "source validation")
@@ -454,16 +454,6 @@ def test_findings_as_text(spark):
     assert scan.format_findings(df, "label").first()[0] == "a.txt:3: jwt"
 
 
-def test_stable_int_is_the_digest_prefix(spark):
-    rows = spark.range(1, 200).select("id", stable_int("name", F.col("id"), 249_900, "salt")
-                                      .alias("v"), stable_int("n", F.col("id"), 2**31, "salt")
-                                      .alias("w")).collect()
-    for r in rows:
-        for name, value, modulus in (("name", r.v, 249_900), ("n", r.w, 2**31)):
-            digest = hashlib.sha256(f"salt:{name}:{r.id}".encode()).digest()
-            assert value == int.from_bytes(digest[:8], "big") % modulus
-
-
 def test_padding_never_truncates(spark):
     df = spark.createDataFrame([(7,), (1234567,)], "n bigint")
     assert [r.p for r in df.select(zero_padded(F.col("n"), 6).alias("p")).collect()] == [

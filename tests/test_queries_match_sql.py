@@ -6,10 +6,10 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.conftest import DATA
-
-QUERIES, SQL = queries(), oracle_sql()
+from tidemark.plans.oracle import ORACLE as SQL
+from tidemark.plans.queries import REGISTRY as QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import SOURCE_COLUMNS
 from tidemark.session import fresh_location
-from tidemark.sources import csv_batch, fixtures, synthetic
+from tidemark.sources import csv_batch, fixtures
 from tidemark.streaming import keyed_upsert
 from tests.conftest import DATA
 
@@ -181,35 +181,6 @@ def test_both_policies_and_replay(spark, store):
     assert state(keyed_upsert.fold(store, log, "bronze", "last", ["k"], "t")) == state(last)
 
 
-# --- synthetic rows ------------------------------------------------------------------
-
-def test_generated_tables_are_consistent_and_repeatable(spark):
-    sizes = synthetic.Sizes(transactions=120, customers=20, merchants=12, devices=30,
-                            sessions=40, alerts=9)
-    tables = synthetic.first_batch(spark, sizes)
-    assert {n: t.count() for n, t in tables.items()} == {
-        "TRANSACTIONS": 120, "TRANSACTION_RISK": 120, "MERCHANTS": 12, "DIGITAL_SESSIONS": 40,
-        "DEVICES": 30, "FRAUD_ALERTS": 9}
-    again = synthetic.first_batch(spark, sizes)
-    for name, df in tables.items():
-        assert df.columns == list(SOURCE_COLUMNS[name])
-        assert df.exceptAll(again[name].repartition(3)).isEmpty()
-    from tidemark.operators.validation import validate_batch
-    expected = spark.createDataFrame([(n, t.count()) for n, t in tables.items()],
-                                     "object string, expected bigint")
-    assert validate_batch(tables, expected).filter("failures > 0").count() == 0
-    with pytest.raises(ValueError):
-        synthetic.first_batch(spark, synthetic.Sizes(customers=0))
-
-
-def test_change_batch_has_an_insert_per_table_and_one_update(spark):
-    changes = synthetic.change_batch(spark, "tidemark")
-    assert set(changes) == set(SOURCE_COLUMNS) - {"MERCHANTS"}
-    device = changes["DEVICES"].first()
-    assert (device["DEVICE_ID"], device["TRUSTED"]) == ("DEVICE-000001", "False")
-    assert all(df.first()["SOURCE_BATCH"] == "incremental" for df in changes.values())
-
-
 def test_fixture_mapping_has_bad_rows_for_every_rule(spark):
     folder = f"{DATA}/sf0.01"
     assert fixtures.merchants(spark, folder).filter("MERCHANT_NAME IS NULL").count() == 6

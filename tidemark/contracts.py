@@ -66,13 +66,20 @@ REQUIRED_COLUMNS: Mapping[str, tuple[str, ...]] = {
                      "SEVERITY"),
 }
 
-# Identifier spellings a source batch must use.
+# The contract pads identifiers to the widths below.  Numbers that need more digits
+# keep them all, up to this many, so a table may outgrow the padding.
+MOST_DIGITS = 18
+
+# Identifier prefixes and the digits they are padded to.
 ID_PATTERNS: Mapping[str, str] = {
-    "TRANSACTION_ID": r"^TXN-\d{9}$",
-    "CUSTOMER_ID": r"^CUST-\d{6}$",
-    "ACCOUNT_ID": r"^ACCT\d{9}$",
-    "MERCHANT_ID": r"^MER\d{6}$",
-    "DEVICE_ID": r"^DEVICE-\d{6}$",
+    column: rf"^{prefix}\d{{{padded},{MOST_DIGITS}}}$"
+    for column, prefix, padded in (
+        ("TRANSACTION_ID", "TXN-", 9),
+        ("CUSTOMER_ID", "CUST-", 6),
+        ("ACCOUNT_ID", "ACCT", 9),
+        ("MERCHANT_ID", "MER", 6),
+        ("DEVICE_ID", "DEVICE-", 6),
+    )
 }
 
 # Fixed values: (child table, column, parent table) checked on a first batch.
@@ -154,7 +161,7 @@ TRANSACTIONS = Entity(
     table="transactions",
     newest_first=("TransactionTimestamp", "Amount"),
     rules={
-        "key": "TransactionID RLIKE '^TXN-[0-9]{9}$'",
+        "key": f"TransactionID RLIKE '^TXN-[0-9]{{9,{MOST_DIGITS}}}$'",
         "customer": "CustomerID IS NOT NULL",
         "timestamp": "TransactionTimestamp IS NOT NULL",
         "amount": "Amount >= 0",

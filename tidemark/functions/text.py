@@ -33,22 +33,3 @@ def json_text(df: DataFrame, column: str) -> Column:
 
 def surrogate_key(natural_key: str | Column) -> Column:
     return F.xxhash64(natural_key)
-
-
-def stable_int(namespace: str, ordinal: Column, modulus: int, salt: str) -> Column:
-    """A reproducible integer in ``[0, modulus)`` for one named draw per ordinal.
-
-    The leading 8 bytes of the SHA-256 of ``salt:namespace:ordinal``, read as an
-    unsigned big-endian number, modulo ``modulus``.  The number does not fit a
-    signed long, so it is reduced as two 32-bit halves; exact for moduli up to
-    2^31.
-    """
-    digest = F.sha2(F.concat(F.lit(f"{salt}:{namespace}:"), ordinal.cast("string")), 256)
-    high = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
-    low = F.conv(F.substring(digest, 9, 8), 16, 10).cast("bigint")
-    return ((high % modulus) * (2**32 % modulus) + low % modulus) % modulus
-
-
-def pick(options: tuple[str, ...], index: Column) -> Column:
-    """The option at a zero-based index."""
-    return F.element_at(F.array(*[F.lit(o) for o in options]), (index + 1).cast("int"))

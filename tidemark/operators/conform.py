@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,6 +61,8 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Colu
     would be compared in full; eight bytes of hash decide nearly every
     comparison.  ``keep_partitioning`` leaves it out, so that the result is
     partitioned by the key alone and a join on the key needs no further shuffle.
+
+    Rows without a whole key are no copies of each other: every one is kept.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in newest_first]
     named = {c for c in newest_first if isinstance(c, str)}
@@ -69,8 +73,19 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Colu
     if not keep_partitioning:
         groups.insert(0, F.xxhash64(*keys))
     window = Window.partitionBy(*groups).orderBy(*[c.desc_nulls_last() for c in order])
-    numbered = df.withColumn("_row_number", F.row_number().over(window))
-    return numbered.filter(F.col("_row_number") == 1).drop("_row_number")
+    unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
+    numbered = df.filter(~unkeyed).withColumn("_row_number", F.row_number().over(window))
+    rows = numbered.filter(F.col("_row_number") == 1).drop("_row_number")
+    if keep_partitioning:
+        # A join on the key finds none of the rows without one, so they would only
+        # cost the partitioning; see ``unkeyed_rows`` for a plan that wants them.
+        return rows
+    return rows.unionByName(df.filter(unkeyed))
+
+
+def unkeyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that ``latest`` with ``keep_partitioning`` leaves out."""
+    return df.filter(reduce(or_, [F.col(k).isNull() for k in keys]))
 
 
 def latest_conformed(df: DataFrame, entity: Entity, keep_partitioning: bool = False) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
-from tidemark.operators.conform import latest_conformed
+from tidemark.operators.conform import conform, latest_conformed, unkeyed_rows
 
 FLAG = "is_valid"
 REASON = "quarantine_reason"
@@ -64,17 +64,21 @@ def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
     leave it out here.  ``joined_next`` says that the plan goes on to join on the
     entity's key, so the rows should stay partitioned by it.
     """
-    rows = latest_conformed(raw, entity, joined_next or entity.parent is not None)
+    checked = entity.parent is not None and check_parent
+    rows = latest_conformed(raw, entity, joined_next or checked)
     rules: dict[str, str | Column] = dict(entity.rules)
-    if entity.parent is None or not check_parent:
+    if not checked:
         return flag_quality(rows, rules, entity.reason, detail)
     if parent is None:
         raise ValueError(f"{entity.table} needs the valid rows of {entity.parent[0]}")
     key = entity.parent[1]
     present = parent.select(key).distinct().withColumn("_parent", F.lit(True))
     rules["parent"] = F.col("_parent")
-    return flag_quality(rows.join(present, key, "left"), rules, entity.reason,
-                        detail).drop("_parent")
+    rows = rows.join(present, key, "left")
+    if not joined_next:
+        orphans = unkeyed_rows(conform(raw, entity), [entity.key])
+        rows = rows.unionByName(orphans.withColumn("_parent", F.lit(None).cast("boolean")))
+    return flag_quality(rows, rules, entity.reason, detail).drop("_parent")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

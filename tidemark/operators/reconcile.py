@@ -16,14 +16,13 @@ def _count(df: DataFrame) -> Column:
 
 
 def _removed_copies(raw: DataFrame, entity: Entity) -> Column:
-    """Rows that are further copies of a conformed key; NULL is one key.
+    """Rows that are further copies of a conformed key; rows without one are no copies.
 
     Counted from the source alone, independently of what silver kept.
     """
     key = F.col(entity.source_key).cast("string")
     keys = raw.select((F.trim(key) if entity.source_key in entity.trimmed else key).alias("k"))
-    distinct = F.count_distinct("k") + F.max(F.when(F.col("k").isNull(), 1).otherwise(0))
-    return keys.agg(F.count("*") - F.coalesce(distinct, F.lit(0))).scalar()
+    return keys.agg(F.count("k") - F.count_distinct("k")).scalar()
 
 
 def reconcile_entity(one_row: DataFrame, run: RunInfo, entity: Entity, raw: DataFrame,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -79,7 +80,7 @@ def scan_text(df: DataFrame, label: str, text: str,
     texts = df.select(F.col(label), blanked.alias("_text"))
     texts = texts.withColumn("_folded", F.lower("_text"))
     possible = F.array_compact(F.array(*[
-        F.when(_may_match(pattern, required_words.get(name, ())), F.lit(name))
+        F.when(_may_match(pattern, required_words.get(name, ()), name in SECRET_RULES), F.lit(name))
         for name, pattern in rules.items()]))
     texts = texts.withColumn("_possible", possible)
     lines = texts.select(label, "_possible", F.posexplode(
@@ -92,13 +93,15 @@ def scan_text(df: DataFrame, label: str, text: str,
                         F.explode(hits).alias("rule"))
 
 
-def _may_match(pattern: str, words: Sequence[str]) -> Column:
+def _may_match(pattern: str, words: Sequence[str], own: bool) -> Column:
     """True for every text with a matching line, and possibly for others.
 
-    Within the whole text a line start is the text start or any line break, so
-    ``^`` is spelled out as such.
+    A pattern is tried on the whole text only if it is one of the library's own
+    without anchors: what it matches in a line it then matches in the text.  A
+    caller's pattern may look at the line's ends in many ways, so its texts are
+    always split.
     """
-    anywhere = F.col("_text").rlike(pattern.replace("|^)", f"|^|{LINE_BREAK})"))
+    anywhere = F.col("_text").rlike(pattern) if own and not re.search(r"[$]|(?<!\[)\^", pattern) else F.lit(True)
     if not words:
         return anywhere
     present = F.col("_folded").contains(words[0])

@@ -26,24 +26,27 @@ class ValidationError(RuntimeError):
 
 def validate_sources(spark: SparkSession, loaders: Loaders, run: RunInfo,
                      source: str = "source") -> DataFrame:
-    """One row per expected object: PASS if it is readable, not empty and has
-    its required columns.  An object that cannot be read is a FAIL row."""
-    def check(name: str) -> tuple:
-        count = 0
+    """One row per expected object.
+
+    An object passes if it can be read, has rows and has its required columns.  One
+    that cannot be read is a finding like any other and carries the whole error.
+    """
+    def finding(name: str) -> tuple[int, str | None]:
         try:
-            df = loaders[name]()
-            count = df.count()
-            missing = sorted(set(REQUIRED_COLUMNS[name]) - set(df.columns))
-            good = count > 0 and not missing
-            notes = ("schema and read succeeded" if good
-                     else f"row_count={count}; missing={missing}")
-        except Exception as error:  # any read failure is a result, not a crash
-            good, notes = False, f"read failed: {type(error).__name__}: {str(error)[:500]}"
-        return (run.run_id, run.run_date, source, name, count, "source_read_and_schema",
-                "PASS" if good else "FAIL", notes)
-
-    results = concurrently({name: lambda name=name: check(name) for name in REQUIRED_COLUMNS})
-    return spark.createDataFrame(list(results.values()), VALIDATION_SCHEMA)
+            rows = loaders[name]()
+            absent = [c for c in REQUIRED_COLUMNS[name] if c not in rows.columns]
+            size = rows.count()
+        except Exception as error:  # whatever went wrong is the result
+            return 0, f"{type(error).__name__}: {error}"
+        if absent:
+            return size, "columns absent: " + ", ".join(sorted(absent))
+        return size, None if size else "no rows"
+
+    found = concurrently({name: lambda name=name: finding(name) for name in REQUIRED_COLUMNS})
+    return spark.createDataFrame(
+        [(run.run_id, run.run_date, source, name, size, "source_read_and_schema",
+          "FAIL" if problem else "PASS", problem or "readable and complete")
+         for name, (size, problem) in found.items()], VALIDATION_SCHEMA)
 
 
 def raise_on_failure(results: DataFrame, what: str) -> None:

@@ -118,7 +118,7 @@ STEPS: dict[str, str] = {
                         "ScoredTimestamp DESC NULLS LAST, RiskScore DESC"),
     # verdicts
     "ver_txn": """
-        SELECT *, coalesce(regexp_matches(TransactionID, '^TXN-[0-9]{9}$')
+        SELECT *, coalesce(regexp_matches(TransactionID, '^TXN-[0-9]{9,18}$')
                AND CustomerID IS NOT NULL AND TransactionTimestamp IS NOT NULL
                AND Amount >= 0, FALSE) AS is_valid FROM lat_txn""",
     "txn": "SELECT * EXCLUDE (is_valid) FROM ver_txn WHERE is_valid",
@@ -322,11 +322,11 @@ def _audit() -> str:
 
 
 def _batch_checks() -> str:
-    patterns = {"CustomerID": ("CUSTOMER_ID", r"^CUST-\d{6}$"),
-                "AccountID": ("ACCOUNT_ID", r"^ACCT\d{9}$"),
-                "MerchantID": ("MERCHANT_ID", r"^MER\d{6}$"),
-                "DeviceID": ("DEVICE_ID", r"^DEVICE-\d{6}$")}
-    txn_pattern = r"^TXN-\d{9}$"
+    patterns = {"CustomerID": ("CUSTOMER_ID", r"^CUST-\d{6,18}$"),
+                "AccountID": ("ACCOUNT_ID", r"^ACCT\d{9,18}$"),
+                "MerchantID": ("MERCHANT_ID", r"^MER\d{6,18}$"),
+                "DeviceID": ("DEVICE_ID", r"^DEVICE-\d{6,18}$")}
+    txn_pattern = r"^TXN-\d{9,18}$"
     tables = {  # object -> step, key, pattern columns, transaction id column, manifest table
         "TRANSACTIONS": ("src_txn", "TRANSACTION_ID",
                          ("CustomerID", "AccountID", "MerchantID", "DeviceID"),
@@ -377,134 +377,6 @@ def _scan(table: str, label: str, alias: str) -> str:
         {branches}"""
 
 
-# --- synthetic rows -------------------------------------------------------------
-
-def _draw(name: str, modulus: str) -> str:
-    return (f"CAST(CAST('0x' || substr(sha256('tidemark:{name}:' || n), 1, 16) AS UBIGINT)"
-            f" % {modulus} AS BIGINT)")
-
-
-def _pick(options: str, index: str) -> str:
-    quoted = ", ".join(f"'{o}'" for o in options.split(","))
-    return f"([{quoted}])[({index}) + 1]"
-
-
-def _time(seconds: str) -> str:
-    return (f"strftime(TIMESTAMP '2026-08-31 12:00:00' + to_seconds(CAST({seconds} AS BIGINT)), "
-            "'%Y-%m-%dT%H:%M:%SZ')")
-
-
-def _size(table: str) -> str:
-    return f"(SELECT count(*) FROM {table})"
-
-
-def _boolean(condition: str) -> str:
-    return f"CASE WHEN {condition} THEN 'True' ELSE 'False' END"
-
-
-_CATEGORIES = "Grocery,Dining,Travel,Fuel,Retail,Healthcare,Digital"
-_COUNTRIES = "US,US,US,CA,GB"
-_SYNTHETIC = {
-    "transactions": f"""
-        SELECT {_id('TXN-', 'n', 9)} AS TRANSACTION_ID,
-               {_id('ACCT', f"(customer * 2 - {_draw('account', '2')})", 9)} AS ACCOUNT_ID,
-               {_id('CUST-', 'customer', 6)} AS CUSTOMER_ID,
-               {_id('MER', f"({_draw('merchant', _size('supplier'))} + 1)", 6)} AS MERCHANT_ID,
-               {_id('DEVICE-', f"({_draw('device', _size('part'))} + 1)", 6)} AS DEVICE_ID,
-               {_time(f"-{_draw('timestamp', '2592000')}")} AS TRANSACTION_TIMESTAMP,
-               CAST(CAST((100 + {_draw('amount', '249900')}) / 100.0 AS DECIMAL(18,2)) AS VARCHAR)
-                   AS AMOUNT,
-               {_pick('USD,USD,USD,CAD,EUR', _draw('currency', '5'))} AS CURRENCY,
-               {_pick('Purchase,Purchase,Refund,Transfer,ATM', _draw('type', '5'))}
-                   AS TRANSACTION_TYPE,
-               {_pick(_CATEGORIES, _draw('category', '7'))} AS MERCHANT_CATEGORY,
-               {_pick('Mobile,Web,POS,ATM', _draw('channel', '4'))} AS CHANNEL,
-               {_pick(_COUNTRIES, _draw('country', '5'))} AS COUNTRY,
-               {_boolean(_draw('card_present', '2') + ' = 1')} AS CARD_PRESENT,
-               {_pick('Approved,Approved,Approved,Declined,Pending', _draw('status', '5'))}
-                   AS TRANSACTION_STATUS,
-               'initial' AS SOURCE_BATCH
-        FROM (SELECT n, {_draw('customer', _size('customer'))} + 1 AS customer
-              FROM (SELECT o_orderkey + 1 AS n FROM orders))""",
-    "risk": f"""
-        SELECT {_id('TXN-', 'n', 9)} AS TRANSACTION_ID,
-               CAST(CAST(score / 100.0 AS DECIMAL(18,2)) AS VARCHAR) AS RISK_SCORE,
-               CASE WHEN score >= 8000 THEN 'High' WHEN score >= 4500 THEN 'Medium' ELSE 'Low' END
-                   AS RISK_BAND,
-               'synthetic-risk-v1' AS MODEL_VERSION, {_time('n % 300')} AS SCORED_TIMESTAMP,
-               CASE WHEN score >= 8000 THEN '["velocity","merchant_risk"]'
-                    WHEN score >= 4500 THEN '["device_novelty"]' ELSE '[]' END
-                   AS RISK_FACTORS_JSON,
-               'initial' AS SOURCE_BATCH
-        FROM (SELECT n, {_draw('risk', '10001')} AS score
-              FROM (SELECT o_orderkey + 1 AS n FROM orders))""",
-    "merchants": f"""
-        SELECT {_id('MER', 'n', 6)} AS MERCHANT_ID,
-               {_id('Synthetic Merchant ', 'n', 6)} AS MERCHANT_NAME,
-               {_pick(_CATEGORIES, _draw('merchant_category', '7'))} AS MERCHANT_CATEGORY,
-               {_id('Synthetic City ', f"({_draw('city', '100')} + 1)", 3)} AS CITY,
-               {_id('S', f"({_draw('state', '50')} + 1)", 2)} AS STATE,
-               {_pick(_COUNTRIES, _draw('merchant_country', '5'))} AS COUNTRY,
-               CASE WHEN risk = 9 THEN 'High' WHEN risk >= 6 THEN 'Medium' ELSE 'Low' END
-                   AS MERCHANT_RISK_CATEGORY,
-               'initial' AS SOURCE_BATCH
-        FROM (SELECT n, {_draw('merchant_risk', '10')} AS risk
-              FROM (SELECT s_suppkey + 1 AS n FROM supplier))""",
-    "devices": f"""
-        SELECT {_id('DEVICE-', 'n', 6)} AS DEVICE_ID,
-               {_id('CUST-', f"((n - 1) % {_size('customer')} + 1)", 6)} AS CUSTOMER_ID,
-               {_time('-(30 + n * 17 % 700) * 86400')} AS FIRST_SEEN,
-               {_time('-(n * 7 % 240) * 3600')} AS LAST_SEEN,
-               {_boolean('n % 7 <> 0')} AS TRUSTED,
-               'SYNTH-FP-' || printf('%08X', n) AS DEVICE_FINGERPRINT,
-               {_pick('iOS,Android,Windows', '(n - 1) % 3')} AS OPERATING_SYSTEM,
-               {_pick('18.3,15,11', '(n - 1) % 3')} AS OPERATING_SYSTEM_VERSION,
-               '6.' || (n % 8) || '.' || (n % 13) AS APP_VERSION,
-               CASE WHEN n % 7 <> 0 THEN '[]' ELSE '[{{"type":"emulator","score":0.75}}]' END
-                   AS RISK_SIGNALS_JSON,
-               'initial' AS SOURCE_BATCH
-        FROM (SELECT p_partkey + 1 AS n FROM part)""",
-    "sessions": f"""
-        SELECT {_id('SESSION-', 'n', 9)} AS SESSION_ID,
-               {_id('CUST-', f"((device - 1) % {_size('customer')} + 1)", 6)} AS CUSTOMER_ID,
-               {_id('DEVICE-', 'device', 6)} AS DEVICE_ID,
-               {_pick('Mobile,Mobile,Desktop', '(device - 1) % 3')} AS DEVICE_TYPE,
-               {_pick('iOS,Android,Windows', '(device - 1) % 3')} AS OPERATING_SYSTEM,
-               {_time('-n * 1860')} AS LOGIN_TIMESTAMP,
-               {_time('-n * 1860 + (3 + n % 87) * 60')} AS LOGOUT_TIMESTAMP,
-               {_pick('password+mfa,passkey,biometric', 'n % 3')} AS AUTHENTICATION_METHOD,
-               {_boolean('n % 5 <> 0')} AS MFA_USED,
-               CAST(failed AS VARCHAR) AS FAILED_ATTEMPTS,
-               CASE WHEN n % 43 = 0 THEN 'GB' ELSE {_pick('US,US,CA', 'n % 3')} END AS COUNTRY,
-               CASE WHEN n % 43 = 0 THEN 'ENG' ELSE {_pick('NY,WA,ON', 'n % 3')} END AS STATE,
-               CASE WHEN n % 43 = 0 THEN 'London'
-                    ELSE {_pick('New York,Seattle,Toronto', 'n % 3')} END AS CITY,
-               CAST(least(100, 8 + failed * 24 + CASE WHEN n % 43 = 0 THEN 35 ELSE 0 END
-                    + CASE WHEN device % 7 = 0 THEN 22 ELSE 0 END) AS VARCHAR)
-                   AS SESSION_RISK_SCORE,
-               '[{{"type":"login","successful":true}}]' AS ACTIVITIES_JSON,
-               'initial' AS SOURCE_BATCH
-        FROM (SELECT n, (n * 37 - 1) % {_size('part')} + 1 AS device,
-                     CASE WHEN n % 29 = 0 THEN 2 WHEN n % 11 = 0 THEN 1 ELSE 0 END AS failed
-              FROM (SELECT event_id + 1 AS n FROM events))""",
-    "alerts": f"""
-        SELECT {_id('ALERT-', 'n', 8)} AS ALERT_ID,
-               {_id('CUST-', f"((n * 13 - 1) % {_size('customer')} + 1)", 6)} AS CUSTOMER_ID,
-               {_id('TXN-', f"(1 + (n * 7919) % {_size('orders')})", 9)} AS TRANSACTION_ID,
-               {_time('-n * 32400')} AS CREATED_TIMESTAMP,
-               CASE WHEN n % 3 = 0 THEN 'accountTakeover' ELSE 'transactionAnomaly' END
-                   AS ALERT_TYPE,
-               {_pick('low,medium,high,critical', 'n % 4')} AS SEVERITY, status AS STATUS,
-               '[{{"name":"transactionRisk","score":0.81}},'
-               || '{{"name":"digitalBehavior","score":0.73}}]' AS SIGNALS_JSON,
-               CASE WHEN status = 'open' THEN '[]' ELSE '[{{"note":"Synthetic POC review"}}]' END
-                   AS INVESTIGATOR_NOTES_JSON,
-               'initial' AS SOURCE_BATCH
-        FROM (SELECT n, CASE WHEN n % 4 = 0 THEN 'resolved' WHEN n % 3 = 0 THEN 'investigating'
-                             ELSE 'open' END AS status
-              FROM (SELECT event_id + 1 AS n FROM events))""",
-}
-
 _FINAL: dict[str, str] = {
     "bronze_scan_counts": " UNION ALL ".join(
         f"SELECT '{name}' AS object, count(*) AS row_count FROM con_{step}"
@@ -549,8 +421,8 @@ _FINAL: dict[str, str] = {
         f"'{name}' AS object, count(*) AS source_count, "
         "'source_read_and_schema' AS validation_type, "
         "CASE WHEN count(*) > 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
-        "CASE WHEN count(*) > 0 THEN 'schema and read succeeded' "
-        "ELSE 'row_count=0; missing=[]' END AS notes "
+        "CASE WHEN count(*) > 0 THEN 'readable and complete' "
+        "ELSE 'no rows' END AS notes "
         f"FROM con_{step}" for name, step, _ in _ENTITIES),
     "batch_validation": _batch_checks(),
     "duplicate_keys": """
@@ -645,4 +517,3 @@ ORACLE: dict[str, str] = {name: _statement(final) for name, final in _FINAL.item
 ORACLE["secret_scan_documents"] = _scan("documents", "doc_id", "doc_id")
 ORACLE["secret_scan_conversations"] = _scan(
     "conversations", "CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR)", "label")
-ORACLE |= {f"synthetic_{name}": sql for name, sql in _SYNTHETIC.items()}

@@ -39,7 +39,7 @@ from tidemark.plans.medallion import (
     run_medallion,
 )
 from tidemark.session import concurrently, fresh_location, materialise, prepare
-from tidemark.sources import csv_batch, fixtures, synthetic
+from tidemark.sources import csv_batch, fixtures
 from tidemark.sources.layers import LayerStore
 from tidemark.sources.serving import publish_tables, refresh_serving, view_counts
 from tidemark.streaming import keyed_upsert
@@ -498,38 +498,6 @@ def column_allowlist_devices(spark: SparkSession, folder: str) -> DataFrame:
     return _without_keys(secure.allowed_columns(rows)).drop("gold_loaded_at")
 
 
-# --- synthetic rows for the ids of the given tables -----------------------------------
-
-def _derived_sizes(spark: SparkSession, folder: str) -> synthetic.Sizes:
-    """Id ranges as large as the given tables, counted from the file footers."""
-    sizes = concurrently({name: fixtures.table(spark, folder, name).count
-                          for name in ("orders", "customer", "supplier", "part", "events")})
-    return synthetic.Sizes(
-        transactions=sizes["orders"], customers=sizes["customer"],
-        merchants=sizes["supplier"], devices=sizes["part"],
-        sessions=sizes["events"], alerts=sizes["events"])
-
-
-def _synthetic_query(source: str, table: str, column: str) -> Query:
-    build = synthetic.ROW_BUILDERS[source][0]
-
-    def query(spark: SparkSession, folder: str) -> DataFrame:
-        ordinals = fixtures.table(spark, folder, table).select(
-            (F.col(column) + 1).alias("ordinal"))
-        return build(ordinals, _derived_sizes(spark, folder))
-    return query
-
-
-for _name, _source, _origin, _column in (
-        ("transactions", "TRANSACTIONS", "orders", "o_orderkey"),
-        ("risk", "TRANSACTION_RISK", "orders", "o_orderkey"),
-        ("merchants", "MERCHANTS", "supplier", "s_suppkey"),
-        ("sessions", "DIGITAL_SESSIONS", "events", "event_id"),
-        ("devices", "DEVICES", "part", "p_partkey"),
-        ("alerts", "FRAUD_ALERTS", "events", "event_id")):
-    _register_as(f"synthetic_{_name}", _synthetic_query(_source, _origin, _column))
-
-
 # --- text scan --------------------------------------------------------------------------
 
 @registered

@@ -19,14 +19,16 @@ class ContractError(ValueError):
     pass
 
 
-def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool = True) -> DataFrame:
     """A source CSV as text columns; the header must be the contract's exactly.
 
     Only the header line is read before the check: a missing, extra, repeated
     or foreign column name fails before any row does.  Every file of a folder is
-    held to the header (``enforceSchema`` off).  An empty field is NULL.  Set
-    ``multi_line`` only for fields with line breaks, as such files cannot be
-    split over tasks.
+    held to the header (``enforceSchema`` off).  An empty field is NULL.  A line with
+    more or fewer fields than the contract fails the read.  Quoted fields may hold
+    line breaks; a file is then read by one task, so write large tables as several
+    files, or turn ``multi_line`` off where no field has a line break: one that has
+    fails the read.
     """
     if table not in SOURCE_COLUMNS:
         raise ContractError(f"unsupported table: {table}")
@@ -37,7 +39,7 @@ def read_csv(spark: SparkSession, table: str, path: str, multi_line: bool = Fals
         raise ContractError(f"{path} header must exactly match the {table} contract")
     rows = (spark.read.schema(", ".join(f"{c} string" for c in expected))
             .option("header", True).option("enforceSchema", False)
-            .option("escape", '"').option("multiLine", multi_line)
+            .option("escape", '"').option("multiLine", multi_line).option("mode", "FAILFAST")
             .csv(path))
     return rows.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in expected])
 
@@ -50,7 +52,8 @@ def read_manifest(spark: SparkSession, batch_folder: str) -> dict:
     return rows[0].asDict(recursive=True)
 
 
-def load_batch(spark: SparkSession, batch_folder: str) -> dict[str, DataFrame]:
+def load_batch(spark: SparkSession, batch_folder: str,
+               multi_line: bool = True) -> dict[str, DataFrame]:
     """Every table of a batch, all of them checked before any is returned.
 
     A table without a file is not part of the batch.
@@ -61,7 +64,7 @@ def load_batch(spark: SparkSession, batch_folder: str) -> dict[str, DataFrame]:
     tables = {}
     for table in SOURCE_COLUMNS:
         try:
-            tables[table] = read_csv(spark, table, f"{batch_folder}/{table}.csv")
+            tables[table] = read_csv(spark, table, f"{batch_folder}/{table}.csv", multi_line)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise

@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators.conform import latest
-from tidemark.operators.upsert import upsert, upsert_newest
+from tidemark.operators.upsert import upsert_newest
+from tidemark.session import materialise
 from tidemark.sources.layers import LayerStore
 
 LOAD = "load"
@@ -55,18 +56,33 @@ def current_rows(log: DataFrame, keys: Sequence[str], event_time: str,
 
 def fold(store: LayerStore, log: DataFrame, layer: str, table: str, keys: Sequence[str],
          event_time: str, newest_event_wins: bool = False) -> DataFrame:
-    """Bring the stored table up to the newest load; a no-op when it is there."""
-    if not store.exists(layer, table):
-        return store.replace(current_rows(log, keys, event_time, newest_event_wins),
-                             layer, table)
-    base = store.read(layer, table)
-    seen = base.agg(F.max(LOAD)).first()[0]
-    unseen = log.filter(F.col(LOAD) > F.lit(seen)) if seen is not None else log
-    if unseen.isEmpty():
-        return base
-    changes = current_rows(unseen, keys, event_time, newest_event_wins)
-    if newest_event_wins:
-        merged = upsert_newest(base, changes, keys, (event_time, LOAD))
+    """Apply the log files that the stored table has not taken yet.
+
+    Which files it has taken is recorded by name beside it, after the table is
+    replaced, so loads may arrive late, twice or in parts: every file is applied,
+    and one applied again after a crash changes nothing.  Rows rank by the policy's
+    order and not by when they are folded, so a late lower load never replaces a
+    higher one unless its event is newer and events decide.
+    """
+    record = f"{table}__files"
+    arrived = log.withColumn("_file", F.col("_metadata.file_path"))
+    if store.exists(layer, table) and store.exists(layer, record):
+        taken = store.read(layer, record)
+        arrived = arrived.join(taken.withColumnRenamed("file", "_file"), "_file", "left_anti")
+        if arrived.isEmpty():
+            return store.read(layer, table)
+    else:
+        taken = None
+    files = arrived.select(F.col("_file").alias("file")).distinct()
+    if taken is not None:
+        files = taken.union(files)
+    order = (event_time, LOAD) if newest_event_wins else (LOAD, event_time)
+    changes = arrived.drop("_file")
+    if store.exists(layer, table):
+        merged = upsert_newest(store.read(layer, table), changes, keys, order)
     else:
-        merged = upsert(base, changes, keys, check=False)
-    return store.replace(merged, layer, table)
+        merged = latest(changes, keys, order)
+    files = materialise(files, "folded-files")
+    folded = store.replace(merged, layer, table)
+    store.replace(files, layer, record)
+    return folded
