@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import file_system, fresh_location
@@ -60,6 +60,13 @@ def lists(flat: np.ndarray, lengths: list[int], kind: pa.DataType) -> pa.ListArr
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
+def held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once a row.  A plain column may be written into the
+    lambdas that use it, and is then computed for each of their elements; a generator
+    stays where it is."""
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): rows (node, root), root
     the smallest node reachable.  Nodes without edges are not in the result.

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, held
 
 DIVISOR, MULTIPLIER = 3, 31
 
@@ -34,15 +34,14 @@ def line_hash(line: Column) -> Column:
 
 def with_chunks(docs: DataFrame) -> DataFrame:
     """Adds lines and chunks (no, first, last): numbers from 1."""
-    return (
-        docs.withColumn("lines", F.split("text", "\n", -1))
-        .withColumn("hashes", F.transform("lines", line_hash))
-        .withColumn("ends", F.expr(
-            "filter(sequence(1, size(lines)), i -> i = size(lines) or pmod(hashes[i - 1] + "
-            f"{MULTIPLIER} * if(i > 1, hashes[i - 2], 0L), {DIVISOR}) = 0)"))
-        .withColumn("chunks", F.expr(
-            "transform(ends, (e, k) -> struct(k + 1 as no, if(k = 0, 1, ends[k - 1] + 1) as first, e as last))"))
-        .drop("hashes", "ends"))
+    lines = held(docs, "lines", F.split("text", "\n", -1))
+    hashes = held(lines, "hashes", F.transform("lines", line_hash))
+    ends = held(hashes, "ends", F.expr(
+        "filter(sequence(1, size(lines)), i -> i = size(lines) or pmod(hashes[i - 1] + "
+        f"{MULTIPLIER} * if(i > 1, hashes[i - 2], 0L), {DIVISOR}) = 0)"))
+    return held(ends, "chunks", F.expr(
+        "transform(ends, (e, k) -> struct(k + 1 as no, if(k = 0, 1, ends[k - 1] + 1) as first, e as last))"
+    )).drop("hashes", "ends")
 
 
 CHUNK_TEXT = "array_join(slice(lines, chunk.first, chunk.last - chunk.first + 1), '\n')"
@@ -82,8 +81,8 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     out = source.join(removed, same(source, removed), "left").select(
         source["doc_id"], "text", "kept", "removed")
     return (
-        with_chunks(out)
-        .withColumn("stays", F.expr("filter(chunks, c -> removed is null or not array_contains(removed, c.no))"))
+        held(with_chunks(out), "stays",
+             F.expr("filter(chunks, c -> removed is null or not array_contains(removed, c.no))"))
         .select(
             "doc_id",
             F.expr("if(removed is null, text, array_join(transform(stays, c -> "
