@@ -1,6 +1,7 @@
 """Licence texts and notices in documents, by Dice coefficient over word bigrams.
 
-A text is folded to lower-case letters a-z and digits and cut into units: its lines,
+A text is folded to lower-case letters a-z and digits.  Texts without any of the words
+that every match must share with its template are done with; others are cut into units: its lines,
 its paragraphs (between blank lines) and itself as a whole.  A unit is compared with
 a template only if its number of distinct word bigrams lets the coefficient reach
 the threshold; a unit with too many distinct words is dropped before its bigrams are
@@ -15,10 +16,15 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import held
+
 THRESHOLD = 0.8
 
 # Wording of public licences and of the notices that stand for them.
@@ -70,6 +76,25 @@ def bounds(size: int, threshold: float) -> tuple[int, int]:
     return math.ceil(share * size - 1e-9), math.floor(size / share + 1e-9)
 
 
+def marks(sets: dict[str, list[str]], threshold: float) -> list[str]:
+    """Words of which every matching text has one at least.
+
+    A match has ``share`` of a template's bigrams, so it lacks fewer than the rest plus
+    one; words are taken until they touch that many, those that touch most first,
+    short ones last.
+    """
+    found = []
+    for bigrams_of in sets.values():
+        needed = len(bigrams_of) - bounds(len(bigrams_of), threshold)[0] + 1
+        left = list(bigrams_of)
+        while len(bigrams_of) - len(left) < needed:
+            touched = Counter(w for b in left for w in set(b.split()))
+            word = max(sorted(touched), key=lambda w: (w in found, len(w) > 4, touched[w]))
+            found.append(word)
+            left = [b for b in left if word not in b.split()]
+    return sorted(set(found))
+
+
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD,
          id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows (doc_id, license, score): the best coefficient of any unit, from ``threshold`` up."""
@@ -81,17 +106,18 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
         for name, found in sets.items()))
     low = min(bounds(len(s), threshold)[0] for s in sets.values())
     high = max(bounds(len(s), threshold)[1] for s in sets.values())
-    return (
+    folded = (
         docs.where(F.col(text_column).isNotNull())
         .select(F.col(id_column).alias("doc_id"),
                 F.regexp_replace(F.lower(text_column), "[^a-z0-9\n]+", " ").alias("folded"))
+        .where(reduce(or_, [F.col("folded").contains(word) for word in marks(sets, threshold)]))
         .select("doc_id", F.explode(F.expr(
             "array_distinct(transform(concat(split(folded, '\n'), split(folded, '\n *\n'), array(folded)), "
-            "u -> trim(translate(u, '\n', ' '))))")).alias("unit"))
-        .select("doc_id", F.split("unit", " +").alias("words"))
-        .where(F.size("words") > low)
-        .where(F.size(F.array_distinct("words")) <= high + 1)
-        .withColumn("bigrams", F.expr(
+            "u -> trim(translate(u, '\n', ' '))))")).alias("unit")))
+    words = (held(folded, "words", F.split("unit", " +")).where(F.size("words") > low)
+             .where(F.size(F.array_distinct("words")) <= high + 1))
+    return (
+        held(words.select("doc_id", "words"), "bigrams", F.expr(
             "array_distinct(transform(sequence(0, size(words) - 2), i -> concat(words[i], ' ', words[i + 1])))"))
         .withColumn("template", F.explode(F.filter(
             table, lambda t: F.size("bigrams").between(t["low"], t["high"]))))
