@@ -107,9 +107,9 @@ def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: floa
     low = min(bounds(len(s), threshold)[0] for s in sets.values())
     high = max(bounds(len(s), threshold)[1] for s in sets.values())
     folded = (
-        docs.where(F.col(text_column).isNotNull())
-        .select(F.col(id_column).alias("doc_id"),
-                F.regexp_replace(F.lower(text_column), "[^a-z0-9\n]+", " ").alias("folded"))
+        held(docs.where(F.col(text_column).isNotNull()).select(
+            F.col(id_column).alias("doc_id"), F.col(text_column).alias("text")),
+            "folded", F.regexp_replace(F.lower("text"), "[^a-z0-9\n]+", " "))
         .where(reduce(or_, [F.col("folded").contains(word) for word in marks(sets, threshold)]))
         .select("doc_id", F.explode(F.expr(
             "array_distinct(transform(concat(split(folded, '\n'), split(folded, '\n *\n'), array(folded)), "
