@@ -465,3 +465,21 @@ def test_flagging_keeps_every_row(spark):
     flagged = flag_quality(df, {"even": "id % 2 = 0", "null": F.lit(None).cast("boolean")}, "r")
     assert flagged.count() == 100
     assert flagged.filter(F.col(FLAG)).count() == 0
+
+
+def test_rows_without_a_key_are_all_quarantined(spark):
+    raw = source_rows(spark, "TRANSACTIONS", transaction(1), *(
+        transaction(2, TRANSACTION_ID=None) for _ in range(5)))
+    flagged = flag_entity(raw, c.TRANSACTIONS)
+    assert flagged.filter(FLAG).count() == 1
+    assert flagged.filter(~F.col(FLAG)).count() == 5
+
+
+def test_wide_identifiers_are_valid(spark):
+    raw = source_rows(spark, "TRANSACTIONS", transaction(1, TRANSACTION_ID="TXN-123456789012"))
+    assert flag_entity(raw, c.TRANSACTIONS).filter(FLAG).count() == 1
+
+
+def test_anchored_rules_of_a_caller_see_every_line(spark):
+    rules = {"begin": "^BEGIN", "end": "here$"}
+    assert findings(spark, "first\nBEGIN\nit is here\nlast", extra_rules=rules) == [(2, "begin"), (3, "end")]

@@ -35,6 +35,18 @@ def test_quoted_json_survives(spark, tmp_path):
         '[{"type":"emulator","score":0.75}]')
 
 
+def test_line_breaks_in_fields_survive_and_odd_lines_fail(spark, tmp_path):
+    values = ["D", "C", *[""] * 7, '"two\nlines"', "initial"]
+    head = ",".join(HEADER) + "\n"
+    path = write(tmp_path / "d.csv", head + ",".join(values) + "\n")
+    rows = csv_batch.read_csv(spark, "DEVICES", path).collect()
+    assert [r["RISK_SIGNALS_JSON"] for r in rows] == ["two\nlines"]
+    for name, fields in (("long", [*values, "more"]), ("short", values[:5])):
+        path = write(tmp_path / f"{name}.csv", head + ",".join(fields) + "\n")
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+            csv_batch.read_csv(spark, "DEVICES", path).collect()
+
+
 @pytest.mark.parametrize("header", [
     HEADER[:-1], [*HEADER, "EXTRA"], [*HEADER[:-1], HEADER[0]],
     [*HEADER[:-1], "SOURCE_BATCH) VALUES (1); DROP TABLE DEVICES --"],
@@ -181,6 +193,17 @@ def test_both_policies_and_replay(spark, store):
     assert state(keyed_upsert.fold(store, log, "bronze", "last", ["k"], "t")) == state(last)
 
 
+def test_late_and_split_loads_are_folded(spark, store):
+    root = fresh_location(spark, "stream")
+    arrive(spark, root, 3, [(1, 1, "three")])
+    keyed_upsert.fold(store, run_stream(spark, root), "bronze", "late", ["k"], "t")
+    arrive(spark, root, 2, [(1, 9, "two"), (2, 1, "two")])
+    spark.createDataFrame([(4, 1, "more")], "k int, t int, v string").write.mode("append").parquet(
+        f"{root}/landing/load=3")
+    table = keyed_upsert.fold(store, run_stream(spark, root), "bronze", "late", ["k"], "t")
+    assert state(table) == [(1, "three"), (2, "two"), (4, "more")]
+
+
 def test_fixture_mapping_has_bad_rows_for_every_rule(spark):
     folder = f"{DATA}/sf0.01"
     assert fixtures.merchants(spark, folder).filter("MERCHANT_NAME IS NULL").count() == 6
