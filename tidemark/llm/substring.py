@@ -5,7 +5,7 @@ non-overlapping blocks of (window + 1) / 2 words.  The blocks are indexed; every
 rolling window of a block's length probes the index.  A block is an anchor if
 another document's block equals it or any window that is no block does.  Each
 anchor is extended in both directions to all windows of full length around it, and
-windows equal in two independent 64-bit hashes are grouped: where the group's
+windows equal in 96 bits of two independent hashes are grouped: where the group's
 smallest document is smaller than the window's own, the window's words go.
 Overlapping windows join into maximal repeats.  No pairs of documents are made, so a
 passage that thousands share costs a row each.
@@ -17,7 +17,8 @@ does not.  Texts travel once, by document.
 
 Words are those between ASCII white space, unchanged.  Null text has no words.  A
 document without an id neither removes nor loses any.  Rows with the same id are
-documents of equal rank: they do not remove each other's words, and one row each is
+documents of equal rank (told apart by 15 bits of a hash of their texts): they do not
+remove each other's words, and one row each is
 returned.  Other columns are dropped unless named in ``keep``.
 """
 
@@ -140,8 +141,8 @@ def _extended(anchored: DataFrame, window: int, block: int, buckets: int) -> Dat
                 keys = _keys(window_hashes(hashes, block)[::block], buckets).view(np.int64)
                 at = block * np.flatnonzero(np.isin(keys, anchors.values.to_numpy()))
                 places = np.unique(np.clip(at[:, None] + np.arange(block - window, 1), 0, len(hashes) - window))
-                parts.append((window_hashes(hashes, window, 1)[places], window_hashes(hashes, window, 2)[places],
-                              np.full(len(places), doc, np.int64), np.full(len(places), version, np.int64),
+                parts.append((window_hashes(hashes, window, 1)[places], (window_hashes(hashes, window, 2)[places] & LOW).astype(np.uint32),
+                              np.full(len(places), doc, np.int64), np.full(len(places), version, np.int16),
                               places.astype(np.int32)))
                 held += len(places)
                 if held > FLUSH:
@@ -154,23 +155,16 @@ def _extended(anchored: DataFrame, window: int, block: int, buckets: int) -> Dat
 
 
 def _repeats(table: pa.Table) -> pa.Table:
-    """Of one bucket: windows of which a smaller document has an equal one, by document."""
-    first, second = _joined(table, "first", np.uint64), _joined(table, "second", np.uint64)
-    docs, versions = _joined(table, "docs", np.int64), _joined(table, "versions", np.int64)
+    """Of one bucket: windows of which a smaller document has an equal one."""
+    first, second = _joined(table, "first", np.uint64), _joined(table, "second", np.uint32)
+    docs, versions = _joined(table, "docs", np.int64), _joined(table, "versions", np.int16)
     places = _joined(table, "places", np.int32)
     order = np.lexsort((docs, second, first))
     first, second, docs, versions, places = (c[order] for c in (first, second, docs, versions, places))
     starts = np.flatnonzero(np.concatenate([[True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])]))
     least = np.repeat(docs[starts], np.diff(np.append(starts, len(docs))))
     docs, versions, places = (c[docs > least] for c in (docs, versions, places))
-    order = np.lexsort((versions, docs))
-    docs, versions, places = docs[order], versions[order], places[order]
-    if not len(docs):
-        return pa.table({"doc_id": pa.array([], pa.int64()), "version": pa.array([], pa.int64()),
-                         "places": pa.array([], pa.list_(pa.int32()))})
-    cuts = np.flatnonzero(np.concatenate([[True], (docs[1:] != docs[:-1]) | (versions[1:] != versions[:-1])]))
-    return pa.table({"doc_id": docs[cuts], "version": versions[cuts], "places": pa.ListArray.from_arrays(
-        pa.array(np.append(cuts, len(docs)).astype(np.int32)), pa.array(places))})
+    return pa.table({"doc_id": docs, "version": versions.astype(np.int64), "place": places})
 
 
 def dedup_passages(docs: DataFrame, window: int = 13, id_column: str = "doc_id", text_column: str = "text",
@@ -180,7 +174,7 @@ def dedup_passages(docs: DataFrame, window: int = 13, id_column: str = "doc_id",
     block = (window + 1) // 2
     scratch = Scratch(docs.sparkSession)
     source = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).cast("binary").alias("text"),
-                         F.xxhash64(text_column).alias("version"), *(F.col(c).alias(f"kept_{c}") for c in keep))
+                         F.pmod(F.xxhash64(text_column), F.lit(1 << 15)).alias("version"), *(F.col(c).alias(f"kept_{c}") for c in keep))
     length = source.agg(F.sum(F.length("text")).alias("length")).first()["length"] or 0
     buckets = max(8, -(-length // BUCKET_BYTES))
     named = source.where("doc_id is not null")
@@ -191,8 +185,8 @@ def dedup_passages(docs: DataFrame, window: int = 13, id_column: str = "doc_id",
     anchored = named.join(by_doc, F.col("doc_id") == F.col("anchored")).where("text is not null")
     repeats = (
         _extended(anchored.select("doc_id", "version", "text", "anchors"), window, block, buckets).groupBy("bucket")
-        .applyInArrow(_repeats, "doc_id long, version long, places array<int>")
-        .groupBy(F.col("doc_id").alias("repeating"), F.col("version").alias("repeating_version")).agg(F.flatten(F.collect_list("places")).alias("places")))
+        .applyInArrow(_repeats, "doc_id long, version long, place int")
+        .groupBy(F.col("doc_id").alias("repeating"), F.col("version").alias("repeating_version")).agg(F.collect_list("place").alias("places")))
     fields = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
