@@ -9,9 +9,12 @@ two orders by independent hashes must confirm them; what is left is verified on
 whole sets.
 
 Groups of documents that share a prefix token are not paired off.  Each member is
-first compared with one pivot of its group.  Links make components, and only pairs
-across components are still open; while those are many, further pivots are tried,
-then all that remain are compared, so no link that joins components is lost.
+first compared with one pivot of its group: the one whose tokens are the most frequent
+on average, which among edited copies is the least edited.  Links make components,
+and only pairs across components are still open; while those are many, a further pivot
+is tried, then all that remain are compared, so no link that joins components is lost.
+A token's place in a set bounds what two sets can share if it is the first they share,
+so a pair is compared only at tokens whose places allow enough.
 
 Words are those between ASCII white space, A to Z folded.  Null text and text without
 words has no shingles and links with nothing; fewer words than a shingle has are one
@@ -33,11 +36,15 @@ from xxhash import xxh3_64_intdigest
 from tidemark.llm.common import Scratch, components, lists
 from tidemark.llm.shingles import mixed, window_hashes, word_hashes
 
-SKETCH = 1 << 18
+SKETCH = 1 << 20
+SLICES = 64
 BUCKET_TOKENS = 400_000
-FLUSH = 2_000_000
+FLUSH = 1_500_000
+# Columns of a packed prefix token: of its set, the most that can be shared from it on, the
+# size, and the mean logarithm of the tokens' counts.
+ENTRY = {"tokens": np.uint64, "classes": np.int64, "reach": np.int32, "sizes": np.int32, "density": np.float32}
 OPEN_PAIRS = 20
-PIVOT_ROUNDS = 4
+PIVOT_ROUNDS = 2
 
 
 def shingle_set(text: bytes | None, size: int) -> np.ndarray:
@@ -71,43 +78,53 @@ def _sets(source: DataFrame, size: int, kind: str) -> DataFrame:
         id_type = None
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            sizes, classes = [], []
+            sizes, classes, held = [], [], []
             for text in batch.column("text"):
                 tokens = shingle_set(text.as_py(), size)
                 sizes.append(len(tokens))
                 classes.append(class_id(tokens) if len(tokens) else None)
-                np.add.at(sketch, (tokens % np.uint64(SKETCH)).astype(np.int64), 1)
-            none = pa.nulls(len(sizes), pa.int64())
+                held.append((tokens % np.uint64(SKETCH)).astype(np.int64))
+            for at in range(0, len(held), 256):
+                cells, counts = np.unique(np.concatenate(held[at:at + 256]), return_counts=True)
+                sketch[cells] += counts
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("version"), pa.array(sizes, pa.int64()),
-                 pa.array(classes, pa.int64()), none, none], names)
-        used = np.flatnonzero(sketch)
+                [batch.column("doc_id"), batch.column("version"), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()),
+                 pa.nulls(len(sizes), pa.int64()), pa.nulls(len(sizes), pa.binary())], names)
         if id_type is not None:
-            none = pa.nulls(len(used), pa.int64())
+            none = pa.nulls(SLICES, pa.int64())
+            weights = pa.array([part.astype("<u4").tobytes() for part in np.split(sketch, SLICES)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(used), id_type), none, none, none, pa.array(used), pa.array(sketch[used])], names)
+                [pa.nulls(SLICES, id_type), none, none, none, pa.array(range(SLICES), pa.int64()), weights], names)
 
-    names = ["doc_id", "version", "n", "cid", "bucket", "weight"]
-    return source.mapInArrow(run, f"doc_id {kind}, version long, n long, cid long, bucket long, weight long")
+    names = ["doc_id", "version", "n", "cid", "slice", "weights"]
+    return source.mapInArrow(run, f"doc_id {kind}, version long, n long, cid long, slice long, weights binary")
+
+
+def _total(table: pa.Table) -> pa.Table:
+    """One slice of the sketch, summed over tasks; counts stop at the largest 32-bit number."""
+    total = np.zeros(SKETCH // SLICES, np.int64)
+    for part in table.column("weights"):
+        total += np.frombuffer(part.as_py(), "<u4")
+    return pa.table({"slice": table.column("slice")[:1],
+                     "weights": pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())})
 
 
 def _prefixes(source: DataFrame, size: int, percent: int, sketch: np.ndarray, buckets: int) -> DataFrame:
     """Prefix tokens under the first order, packed by task and bucket of the token."""
 
-    def packed(tokens: list, classes: list, lengths: list) -> Iterator[pa.RecordBatch]:
-        flat = np.concatenate(tokens)
-        own = np.repeat(np.array(classes, np.int64), lengths)
-        bucket = (mixed(flat, 5) % np.uint64(buckets)).astype(np.int64)
+    def packed(parts: list[tuple]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
+        bucket = (mixed(columns[0], 5) % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        flat, own, bucket = flat[order], own[order], bucket[order]
+        bucket = bucket[order]
         cuts = np.flatnonzero(np.diff(bucket)) + 1
-        firsts = bucket[np.concatenate([[0], cuts])]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(firsts), pa.array([t.tobytes() for t in np.split(flat, cuts)], pa.binary()),
-             pa.array([c.tobytes() for c in np.split(own, cuts)], pa.binary())], ["bucket", "tokens", "classes"])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[np.concatenate([[0], cuts])]),
+             *(pa.array([c.tobytes() for c in np.split(column[order], cuts)], pa.binary()) for column in columns)],
+            ["bucket", *ENTRY])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, tokens, classes, lengths, held = set(), [], [], [], 0
+        seen, parts, held = set(), [], 0
         for batch in batches:
             for text in batch.column("text"):
                 found = shingle_set(text.as_py(), size)
@@ -115,41 +132,43 @@ def _prefixes(source: DataFrame, size: int, percent: int, sketch: np.ndarray, bu
                     continue
                 seen.add(own)
                 weight = sketch[(found % np.uint64(SKETCH)).astype(np.int64)]
-                first = found[np.lexsort((mixed(found, 1), weight))[:prefix_length(len(found), percent)]]
-                tokens.append(first)
-                classes.append(own)
-                lengths.append(len(first))
-                held += len(first)
+                length = prefix_length(len(found), percent)
+                first = found[np.lexsort((mixed(found, 1), weight))[:length]]
+                parts.append((first, np.full(length, own, np.int64), (len(found) - np.arange(length)).astype(np.int32),
+                              np.full(length, len(found), np.int32), np.full(length, np.log1p(weight).mean(), np.float32)))
+                held += length
                 if held > FLUSH:
-                    yield from packed(tokens, classes, lengths)
-                    tokens, classes, lengths, held = [], [], [], 0
+                    yield packed(parts)
+                    parts, held = [], 0
         if held:
-            yield from packed(tokens, classes, lengths)
+            yield packed(parts)
 
-    return source.select("text").mapInArrow(run, "bucket long, tokens binary, classes binary")
+    return source.select("text").mapInArrow(run, f"bucket long, {', '.join(f'{c} binary' for c in ENTRY)}")
 
 
-def _groups(table: pa.Table) -> pa.Table:
-    """Of one bucket: a candidate of each member with its group's pivot (``b``), and the
-    members of groups of three or more (``token``)."""
-    tokens = np.concatenate([np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()])
-    classes = np.concatenate([np.frombuffer(c, np.int64) for c in table.column("classes").to_pylist()])
-    order = np.lexsort((classes, tokens))
-    tokens, classes = tokens[order], classes[order]
+def _groups(table: pa.Table, percent: int) -> pa.Table:
+    """Of one bucket: a candidate of each member with its group's pivot (``b``), and of
+    groups of three or more the members (``token``) whose places allow a link."""
+    tokens, classes, reach, sizes_of, density = (
+        np.concatenate([np.frombuffer(b, kind) for b in table.column(c).to_pylist()]) for c, kind in ENTRY.items())
+    order = np.lexsort((classes, -density, tokens))
+    tokens, classes, reach, sizes_of = (c[order] for c in (tokens, classes, reach.astype(np.int64), sizes_of.astype(np.int64)))
     fresh = np.ones(len(tokens), bool)
     fresh[1:] = (tokens[1:] != tokens[:-1]) | (classes[1:] != classes[:-1])
-    tokens, classes = tokens[fresh], classes[fresh]
+    tokens, classes, reach, sizes_of = (c[fresh] for c in (tokens, classes, reach, sizes_of))
     firsts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
     sizes = np.diff(np.append(firsts, len(tokens)))
-    pivots, sizes = np.repeat(classes[firsts], sizes), np.repeat(sizes, sizes)
-    other = classes != pivots
+    pivots, pivot_sizes, least = (np.repeat(c, sizes) for c in (classes[firsts], sizes_of[firsts], np.minimum.reduceat(sizes_of, firsts)))
+    sizes = np.repeat(sizes, sizes)
+    other = (classes != pivots) & (100 * np.minimum(sizes_of, pivot_sizes) >= percent * np.maximum(sizes_of, pivot_sizes))
     pairs = np.unique(np.stack([classes[other], pivots[other]], 1), axis=0)
-    large = sizes >= 3
+    large = (sizes >= 3) & ((100 + percent) * reach >= percent * (sizes_of + least))
+    is_pair = np.arange(len(pairs) + large.sum()) < len(pairs)
+    filled = lambda values: pa.array(np.concatenate([np.zeros(len(pairs), np.int64), values]), mask=is_pair)
     return pa.table({
         "a": np.concatenate([pairs[:, 0], classes[large]]),
-        "b": pa.array(np.concatenate([pairs[:, 1], classes[large]]), mask=np.arange(len(pairs) + large.sum()) >= len(pairs)),
-        "token": pa.array(np.concatenate([pairs[:, 0], tokens[large].view(np.int64)]),
-                          mask=np.arange(len(pairs) + large.sum()) < len(pairs))})
+        "b": pa.array(np.concatenate([pairs[:, 1], classes[large]]), mask=~is_pair),
+        "token": filled(tokens[large].view(np.int64)), "reach": filled(reach[large]), "n": filled(sizes_of[large])})
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -173,16 +192,20 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str =
     source = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).cast("binary").alias("text"),
                          F.xxhash64(text_column).alias("version"))
     first = scratch.write(_sets(source, size, kind), "sets")
-    rows = first.where("bucket is null")
-    counted = first.where("bucket is not null").groupBy("bucket").agg(F.sum("weight").alias("weight")).toArrow()
-    sketch = np.zeros(SKETCH, np.int64)
-    sketch[counted.column("bucket").to_numpy()] = counted.column("weight").to_numpy()
-    buckets = max(8, int(sketch.sum()) // (5 * BUCKET_TOKENS))
+    rows = first.where("slice is null")
+    counted = (first.where("slice is not null").select("slice", "weights").groupBy("slice")
+               .applyInArrow(_total, "slice long, weights binary").toArrow().sort_by("slice"))
+    sketch = np.concatenate([np.frombuffer(w, "<u4") for w in counted.column("weights").to_pylist()] or [np.zeros(SKETCH, "<u4")])
+    buckets = max(8, int(sketch.sum(dtype=np.int64)) // (5 * BUCKET_TOKENS))
+
+    def groups_of(table: pa.Table) -> pa.Table:
+        return _groups(table, percent)
+
     groups = scratch.write(
-        _prefixes(source, size, percent, sketch.astype(np.uint32), buckets).groupBy("bucket")
-        .applyInArrow(_groups, "a long, b long, token long"), "groups")
+        _prefixes(source, size, percent, sketch, buckets).groupBy("bucket")
+        .applyInArrow(groups_of, "a long, b long, token long, reach long, n long"), "groups")
     pairs = groups.where("b is not null").select("a", "b").distinct()
-    entries = groups.where("token is not null").select("token", F.col("a").alias("cid"))
+    entries = groups.where("token is not null").select("token", F.col("a").alias("cid"), "reach", "n")
     chosen = pairs.select(F.explode(F.array("a", "b")).alias("cid")).union(entries.select("cid")).distinct()
     representative = (rows.where("cid is not null").groupBy("cid")
                       .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "version")).alias("at"))
@@ -206,22 +229,26 @@ def similar(docs: DataFrame, size: int = 5, percent: int = 80, id_column: str =
         .dropDuplicates(["cid"]), "candidate-sets")
     links = scratch.write(_verified(pairs, sets, percent), "links")
     roots = components(links, scratch)
-    tried, entries = pairs, entries.join(sets.select("cid", "n"), "cid")
+    tried = pairs
     for step in range(PIVOT_ROUNDS):
         placed = (entries.join(roots, entries["cid"] == roots["node"], "left")
-                  .select("token", "cid", "n", F.coalesce("root", "cid").alias("component")))
-        unsettled = placed.groupBy("token").agg(
-            F.count("*").alias("m"), F.min(F.struct(F.xxhash64("cid", F.lit(step)), "cid", "component")).alias("pivot"),
-            F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        open_entries = scratch.write(placed.join(unsettled.select("token", "m", "pivot"), "token"), "open")
-        size_of = open_entries.agg(F.sum("m").alias("pairs"), F.count("*").alias("entries")).first()
+                  .select("token", "cid", "reach", "n", F.coalesce("root", "cid").alias("component")))
+        unsettled = (
+            placed.groupBy("token", "component")
+            .agg(F.count("*").alias("m"), F.min(F.struct(F.xxhash64("cid", F.lit(step)), "cid", "component")).alias("pivot"))
+            .groupBy("token").agg(F.sum("m").alias("m"), F.sum(F.expr("m * m")).alias("within"), F.min("pivot").alias("pivot"),
+                                  F.count("*").alias("components"))
+            .where("components > 1").selectExpr("token", "pivot", "(m * m - within) / (2 * m) as share"))
+        open_entries = scratch.write(placed.join(unsettled, "token"), "open")
+        size_of = open_entries.agg(F.sum("share").alias("pairs"), F.count("*").alias("entries")).first()
         if not size_of["entries"]:
             break
         last = size_of["pairs"] <= OPEN_PAIRS * size_of["entries"] or step == PIVOT_ROUNDS - 1
         if last:
             x, y = open_entries.alias("x"), open_entries.alias("y")
             more = x.join(y, F.expr(f"x.token = y.token and x.cid > y.cid and x.component <> y.component and "
-                                    f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)"))
+                                    f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n) and "
+                                    f"{100 + percent} * least(x.reach, y.reach) >= {percent} * (x.n + y.n)"))
             more = more.select(F.col("x.cid").alias("a"), F.col("y.cid").alias("b"))
         else:
             more = open_entries.where("component <> pivot.component").select(
