@@ -49,6 +49,22 @@ def test_near_duplicate_vectors(vectors):
     assert pq_dedup.near_duplicates(vectors.limit(0)).count() == 0
 
 
+def test_every_link_of_a_hot_group_over_many_lists(spark):
+    rng = np.random.default_rng(4)
+    near = rng.normal(size=64) + rng.normal(scale=0.2, size=(1000, 64))
+    raw = np.concatenate([near, rng.normal(size=(2000, 64))])
+    unit = raw / np.linalg.norm(raw, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.95
+    label = np.arange(len(raw))
+    for _ in range(50):
+        label = np.array([label[row].min() for row in linked])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(raw)], "vec_id long, embedding array<double>")
+    rows = sorted(pq_dedup.near_duplicates(df, list_size=16).collect())
+    assert sum(linked[0]) > 100
+    assert [r.n_links for r in rows] == (linked.sum(1) - 1).tolist()
+    assert [r.component_id for r in rows] == label.tolist()
+
+
 def test_nearest_vectors(vectors):
     ids, unit = good(vectors)
     found = hnsw.nearest(vectors, shards=3).collect()

@@ -2,19 +2,20 @@
 
 Equal vectors are one class, with its number of rows, so copies are never paired.
 Classes are coded: the nearest of the coarse centroids, and for each subspace of the
-residual the nearest of its codewords.  A class is compared with the lists whose
-cells its neighbourhood can reach (the plane between two centroids is nearer than
-the radius of the threshold), at most ``probes`` of them, nearest first.  Within a
-list, distances come from one table of the query's residual and the codes; only
-members whose distance, less their own coding error, is within the radius are
-compared exactly, in double precision.
+residual the nearest of its codewords.  A class is compared with every list whose cell
+its neighbourhood can reach: the plane between two centroids is nearer than the
+radius of the threshold.  No list within that bound is left out, so every link is
+found.  Within a list, distances come from one table of the query's residual and the
+codes; only members whose distance, less their own coding error, is within the radius
+are compared exactly, in double precision.
 
 Centroids and codewords are fitted on a bounded sample; every class is indexed.
-Lists are split into blocks of bounded size, their queries too, and a task has one
-block of each.  It emits counts and a star of links per local component, never the
-pairs, and credits a link to the other side only where that side does not probe back.
-Recall is that of the probes: links across more cells than ``probes`` can be missed;
-no pair below the threshold is ever linked.
+Neighbouring lists are packed into blocks of bounded size and a large list is split
+over several; a task has one pair of blocks, and a pair is only made if the one
+reaches a list of the other.  It emits counts and a star of links per local
+component, never the pairs of vectors.  Where cells are not well apart, as with
+evenly spread vectors of many dimensions, most blocks reach each other and the work
+grows with the square of the number of classes.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite
 components link with nothing; neither do rows without an id, which get a null
@@ -29,14 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Scratch, components
 from tidemark.llm.hnsw import matrix, usable
 
-BLOCK = 1024
-CODED = "cls long, size long, unit binary, list int, probes array<int>, codes binary, error double"
+BLOCK_BYTES = 4 << 20
+CELLS = 1 << 21
+CODED = "cls long, size long, unit binary, list int, codes binary, error double"
+PACKED = ("block int, cls binary, size binary, unit binary, list binary, codes binary, error binary, "
+          "lists array<int>, reach array<int>")
+KINDS = {"cls": np.int64, "size": np.int64, "unit": np.float64, "list": np.int32, "codes": np.uint8, "error": np.float64}
 
 
 def k_means(points: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
@@ -79,60 +85,113 @@ class Quantiser:
             error += ((rest[:, s] - w[codes[:, i]]) ** 2).sum(1)
         return own, codes.astype(np.uint8), np.sqrt(error)
 
-    def probes(self, unit: np.ndarray, own: np.ndarray, radius: float, most: int) -> list[list[int]]:
-        """The own list and those whose cells are within ``radius``, nearest first."""
+    def reaches(self, unit: np.ndarray, own: np.ndarray, radius: float) -> np.ndarray:
+        """Whether a point of each list can be within ``radius``; of linked points each
+        reaches the other's list.  Multiplied out, as centroids may coincide."""
         square = distances(unit, self.coarse)
         mine = square[np.arange(len(unit)), own][:, None]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            plane = (square - mine) / (2 * self.apart[own])
-        plane[np.arange(len(unit)), own] = -1
-        order = np.argsort(square, 1)[:, :most]
-        return [row[plane[i, row] <= radius].tolist() for i, row in enumerate(order)]
-
-
-def _links(group: pd.DataFrame, quantiser: Quantiser, radius: float, threshold: float) -> pd.DataFrame:
-    """Counts and a star of links of one block of queries and one of members."""
-    members, queries = group[group["member"]], group[~group["member"]]
-    if members.empty or queries.empty:
-        return pd.DataFrame({"cls": [], "n": [], "root": []})
-    here = int(members["list"].iloc[0])
-    unit = np.stack([np.frombuffer(u) for u in members["unit"]])
-    codes = np.stack([np.frombuffer(c, np.uint8) for c in members["codes"]])
-    reach = radius + members["error"].to_numpy()
-    wanted = np.stack([np.frombuffer(u) for u in queries["unit"]])
-    rest = wanted - quantiser.coarse[here]
-    square = np.zeros((len(queries), len(members)))
-    for i, (s, w) in enumerate(zip(quantiser.splits, quantiser.words, strict=True)):
-        square += distances(rest[:, s], w)[:, codes[:, i]]
-    a, b = np.nonzero(np.sqrt(square) <= reach + 1e-9)
-    near = np.empty(len(a))
-    for i in range(0, len(a), 65536):
-        near[i:i + 65536] = np.einsum("ij,ij->i", wanted[a[i:i + 65536]], unit[b[i:i + 65536]])
-    query_cls, member_cls = queries["cls"].to_numpy(np.int64), members["cls"].to_numpy(np.int64)
-    linked = (near >= threshold) & (query_cls[a] != member_cls[b])
-    a, b = a[linked], b[linked]
-    query_list = queries["own"].to_numpy()
-    back = [set(p.tolist()) for p in members["probes"]]
-    alone = np.array([query_list[x] not in back[y] for x, y in zip(a.tolist(), b.tolist(), strict=True)], bool)
-    query_size, member_size = queries["size"].to_numpy(), members["size"].to_numpy()
-    nodes = np.unique(np.concatenate([query_cls[a], member_cls[b]]))
-    x, y = np.searchsorted(nodes, query_cls[a]), np.searchsorted(nodes, member_cls[b])
-    counts = np.bincount(x, member_size[b], len(nodes)) + np.bincount(y[alone], query_size[a[alone]], len(nodes))
-    root = np.arange(len(nodes))
-    while True:  # smallest label along links, with labels of labels
-        least = np.minimum(root[x], root[y])
-        new = root.copy()
-        np.minimum.at(new, x, least)
-        np.minimum.at(new, y, least)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
-    return pd.DataFrame({"cls": nodes, "n": counts.astype(np.int64), "root": nodes[root]})
-
-
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, probes: int = 16, list_size: int = 256,
-                    most_lists: int = 4096, parts: int = 8, codewords: int = 64, sample_rows: int = 20_000,
+        found = square - mine <= 2 * radius * self.apart[own] + 1e-7
+        found[np.arange(len(unit)), own] = True
+        return found
+
+    def order(self) -> np.ndarray:
+        """Lists along the axis on which the centroids differ most, so that lists packed
+        together are near each other."""
+        centred = self.coarse - self.coarse.mean(0)
+        return np.argsort(centred @ np.linalg.eigh(centred.T @ centred)[1][:, -1], kind="stable")
+
+
+def places(sizes: dict[int, int], order: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """(list, first block, blocks): lists in order fill blocks of about ``most`` classes;
+    a larger list has blocks of its own."""
+    out, block, filled = [], 0, 0
+    for i in order.tolist():
+        size = sizes.get(i, 0)
+        if not size:
+            continue
+        if filled and filled + size > most:
+            block, filled = block + 1, 0
+        count = math.ceil(size / most)
+        out.append((i, block, count))
+        block, filled = (block + count, 0) if count > 1 else (block, filled + size)
+    return out
+
+
+def _pack(group: pd.DataFrame, quantiser: Quantiser, radius: float) -> pd.DataFrame:
+    """A block as one row, with the lists it holds and those it reaches."""
+    group = group.sort_values(["list", "cls"])
+    unit = np.stack([np.frombuffer(u) for u in group["unit"]])
+    own = group["list"].to_numpy(np.int32)
+    reach = np.zeros(len(quantiser.coarse), bool)
+    for i in range(0, len(unit), 1024):
+        reach |= quantiser.reaches(unit[i:i + 1024], own[i:i + 1024], radius).any(0)
+    return pd.DataFrame({
+        "block": [int(group["block"].iloc[0])],
+        **{c: [group[c].to_numpy(KINDS[c]).tobytes()] for c in ("cls", "size", "list", "error")},
+        "unit": [unit.tobytes()], "codes": [b"".join(group["codes"])],
+        "lists": [np.unique(own).tolist()], "reach": [np.nonzero(reach)[0].tolist()]})
+
+
+def _merge(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """``root`` after joining x[i] with y[i]: every label is the smallest of its component."""
+    while True:
+        a, b = root[x], root[y]
+        live = a != b
+        if not live.any():
+            return root
+        x, y, a, b = x[live], y[live], a[live], b[live]
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _links(left: dict, right: dict, same: bool, quantiser: Quantiser, radius: float, threshold: float) -> pd.DataFrame:
+    """Counts and a star of links between two blocks, or within one.
+
+    Two blocks meet once, so both sides are credited; within a block each class asks for
+    itself.
+    """
+    shift = 0 if same else len(left["cls"])
+    cls = left["cls"] if same else np.concatenate([left["cls"], right["cls"]])
+    counts, root = np.zeros(len(cls), np.int64), np.arange(len(cls))
+    lists, starts = np.unique(right["list"], return_index=True)
+    ends = [*starts[1:], len(right["list"])]
+    asks = np.concatenate([quantiser.reaches(left["unit"][i:i + 1024], left["list"][i:i + 1024], radius)[:, lists]
+                           for i in range(0, len(left["unit"]), 1024)])
+    for k, (here, start, end) in enumerate(zip(lists.tolist(), starts.tolist(), ends, strict=True)):
+        unit, codes = right["unit"][start:end], right["codes"][start:end]
+        reach = radius + right["error"][start:end] + 1e-9
+        asking = np.nonzero(asks[:, k])[0]
+        step = max(1, CELLS // len(unit))
+        for i in range(0, len(asking), step):
+            some = asking[i:i + step]
+            wanted = left["unit"][some]
+            rest = wanted - quantiser.coarse[here]
+            square = np.zeros((len(some), len(unit)))
+            for j, (s, w) in enumerate(zip(quantiser.splits, quantiser.words, strict=True)):
+                square += distances(rest[:, s], w)[:, codes[:, j]]
+            a, b = np.nonzero(square <= reach ** 2)
+            if len(a) > square.size // 16:
+                near = (wanted @ unit.T)[a, b]
+                exact = np.nonzero(np.abs(near - threshold) < 1e-9)[0]
+            else:
+                near, exact = np.empty(len(a)), np.arange(len(a))
+            for part in np.array_split(exact, len(exact) // 65536 + 1):
+                near[part] = np.einsum("ij,ij->i", wanted[a[part]], unit[b[part]])
+            linked = near >= threshold
+            x, y = some[a[linked]], start + b[linked]
+            if same:
+                x, y = x[x != y], y[x != y]
+            counts += np.bincount(x, right["size"][y], len(cls)).astype(np.int64)
+            if not same:
+                counts += np.bincount(shift + y, left["size"][x], len(cls)).astype(np.int64)
+            root = _merge(root, x, shift + y)
+    found = np.nonzero(counts)[0]
+    return pd.DataFrame({"cls": cls[found], "n": counts[found], "root": cls[root[found]]})
+
+
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, list_size: int = 256, most_lists: int = 4096,
+                    parts: int = 8, codewords: int = 64, sample_rows: int = 20_000,
                     id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept), one for each row of ``vectors``.
 
@@ -161,29 +220,40 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, probes: int = 1
             own, codes, error = quantiser.code(unit)
             yield pd.DataFrame({
                 "cls": batch["cls"], "size": batch["size"], "unit": [u.tobytes() for u in unit], "list": own.astype(np.int32),
-                "probes": quantiser.probes(unit, own, radius, probes), "codes": [c.tobytes() for c in codes],
-                "error": error})
+                "codes": [c.tobytes() for c in codes], "error": error})
 
     coded = scratch.write(same_length.select("cls", "size", "vector").mapInPandas(code, CODED), "coded")
-    asked = coded.select("cls", "size", "unit", F.col("list").alias("own"), F.explode("probes").alias("list"))
-    # Both counts have a row per list, so at most ``most_lists``.
-    blocks = (coded.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("member_blocks"))
-              .join(asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("query_blocks")), "list"))
-    blocks = F.broadcast(blocks)
-    dealt = F.xxhash64("cls")
-    span = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    members = (coded.join(blocks, "list").withColumn("member_block", F.pmod(dealt, "member_blocks").cast("int"))
-               .withColumn("query_block", span("query_blocks"))
-               .select(F.lit(True).alias("member"), "cls", "size", "unit", "list", "probes", "codes", "error",
-                       F.lit(-1).alias("own"), "member_block", "query_block"))
-    queries = (asked.join(blocks, "list").withColumn("query_block", F.pmod(dealt, "query_blocks").cast("int"))
-               .withColumn("member_block", span("member_blocks"))
-               .select(F.lit(False).alias("member"), "cls", "size", "unit", "list",
-                       F.lit(None).cast("array<int>").alias("probes"), F.lit(None).cast("binary").alias("codes"),
-                       F.lit(None).cast("double").alias("error"), "own", "member_block", "query_block"))
-    found = scratch.write(
-        members.unionByName(queries).groupBy("list", "member_block", "query_block")
-        .applyInPandas(lambda g: _links(g, quantiser, radius, threshold), "cls long, n long, root long"), "links")
+    length = quantiser.coarse.shape[1]
+    # A row per list, so at most ``most_lists``.
+    sizes = dict(map(tuple, coded.groupBy("list").count().collect()))
+    placed = vectors.sparkSession.createDataFrame(
+        places(sizes, quantiser.order(), max(256, BLOCK_BYTES // (8 * length))), "list int, first int, blocks int")
+    packed = scratch.write(
+        coded.join(F.broadcast(placed), "list")
+        .withColumn("block", F.col("first") + F.pmod(F.xxhash64("cls"), "blocks").cast("int")).drop("first", "blocks")
+        .groupBy("block").applyInPandas(lambda g: _pack(g, quantiser, radius), PACKED), "packed")
+    holds = packed.select(F.col("block").alias("b"), F.explode("lists").alias("list"))
+    pairs = (packed.select(F.col("block").alias("a"), F.explode("reach").alias("list")).join(holds, "list")
+             .where("a <= b").select("a", "b").distinct())
+    side = lambda of: packed.select(F.col("block").alias(of), *(F.col(c).alias(f"{of}_{c}") for c in KINDS))
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                row = batch.slice(i, 1).to_pylist()[0]
+                blocks = [{c: np.frombuffer(row[f"{of}_{c}"], kind) for c, kind in KINDS.items()} for of in ("a", "b")]
+                for block in blocks:
+                    block["unit"] = block["unit"].reshape(-1, length)
+                    block["codes"] = block["codes"].reshape(-1, len(quantiser.splits))
+                found = _links(*blocks, row["a"] == row["b"], quantiser, radius, threshold)
+                yield pa.RecordBatch.from_pandas(found.astype(np.int64), preserve_index=False)
+
+    # Every other pair is turned round, so that no block is the second of most of its pairs.
+    turned = (F.col("a") + F.col("b")) % 2 == 1
+    pairs = pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
+                         F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    found = scratch.write(met.mapInArrow(links, "cls long, n long, root long"), "links")
     roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")), scratch)
     counts = found.groupBy("cls").agg(F.sum("n").alias("n"))
     results = (classes.join(counts, "cls", "left").join(roots, F.col("cls") == F.col("node"), "left")
