@@ -96,6 +96,21 @@ def test_main_text_is_the_article(spark):
         assert html_text.main_text(page.html) == "\n".join(filter(None, blocks))
 
 
+LONG_TEXT = ("the quick fox and the dog are in the house " * 8).strip()
+
+
+@pytest.mark.parametrize("around", ["<aside>{}</aside>", "<div class='comments'>{}</div>"])
+def test_articles_in_boilerplate_do_not_hide_the_text(around):
+    others = around.format(f"<article><p>{LONG_TEXT[:160]}</p></article><article><p>{LONG_TEXT[:150]}</p></article>")
+    assert html_text.main_text(f"<div class='entry-content'><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div>{others}") == (
+        f"{LONG_TEXT}\n{LONG_TEXT}")
+
+
+def test_teasers_that_are_articles_do_not_replace_the_text():
+    teasers = "<div><article><p>Short teaser</p></article><article><p>Another</p></article></div>"
+    assert LONG_TEXT in html_text.main_text(f"<div class='entry-content'><p>{LONG_TEXT}</p></div>{teasers}")
+
+
 @pytest.mark.parametrize("operator, sql", [(line_dedup.dedup_lines, line_dedup.SQL), (licenses.scan, licenses.SQL)])
 def test_native_operators_match_sql(spark, operator, sql):
     engine = duckdb.connect()

@@ -3,7 +3,9 @@
 A page becomes blocks: the text between tags that break lines.  The first pass
 decides what it can: blocks in elements that name themselves boilerplate and blocks
 that are mostly links are out; long blocks, and shorter ones with stop words, are
-in.  The second pass gives every undecided block the label of the nearest decided
+in.  Where articles outside boilerplate hold most of the text, blocks outside them are
+out too; otherwise (teasers or comments that are articles) all blocks are judged alike.
+The second pass gives every undecided block the label of the nearest decided
 block of its own region (inside or outside the article), the preceding one if two
 are as near; where a region has none, articles are in, and so is a page without an
 article.
@@ -139,11 +141,18 @@ def first_pass(block: Block, article: bool) -> bool | None:
     return True if len(block.text) >= SHORT and dense else None
 
 
+def holds_most(found: list[Block]) -> bool:
+    """Whether articles outside boilerplate hold most of the text, links left out;
+    text outside them counts where it is in by its own length and words."""
+    inside = sum(len(b.text) for b in found if b.region and not b.bad and first_pass(b, False) is not False)
+    return inside > sum(len(b.text) for b in found if not b.region and first_pass(b, False))
+
+
 def main_text(html: str | None) -> str:
     if not html:
         return ""
     found = blocks(html)
-    article = any(b.region for b in found)
+    article = holds_most(found)
     labels = [first_pass(b, article) for b in found]
     # Decided blocks that may lend their label: those of the region in question.
     lends = [label is not None and not b.bad and (b.region or not article)
