@@ -111,6 +111,14 @@ def test_teasers_that_are_articles_do_not_replace_the_text():
     assert LONG_TEXT in html_text.main_text(f"<div class='entry-content'><p>{LONG_TEXT}</p></div>{teasers}")
 
 
+@pytest.mark.parametrize("before", [
+    "<html><head><title>t</title><meta charset=utf-8><body>", "<head><style>p{}</style>", "<svg viewBox='0 0 1 1'/>",
+    "<object data='x' />", "<button>", "<svg><svg></svg>", "<iframe src=x>", "<video src=x><video>v</video>",
+    "<select><option>", "<button-group>", "<svg><a>x</a><title>y</title></svg>", "<template><div>z</div></template>"])
+def test_open_and_empty_elements_keep_the_text_after_them(before):
+    assert html_text.main_text(f"{before}<p>{LONG_TEXT}</p>") == LONG_TEXT
+
+
 @pytest.mark.parametrize("operator, sql", [(line_dedup.dedup_lines, line_dedup.SQL), (licenses.scan, licenses.SQL)])
 def test_native_operators_match_sql(spark, operator, sql):
     engine = duckdb.connect()

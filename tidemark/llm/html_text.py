@@ -12,7 +12,8 @@ article.
 
 A projection: no shuffle, whole pages, one page in memory beyond its batch.  Null or
 empty html gives an empty text.  Broken markup (elements left open, stray end tags,
-a page that ends within a tag) is read as far as it goes.  Repeated rows are read
+a page that ends within a tag) is read as far as it goes; only script, style, title and
+textarea, whose content is no markup, run to the end of the page if left open.  Repeated rows are read
 one by one; columns not named are dropped, whatever their names.
 """
 
@@ -26,10 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+RAW = r"<!--.*?(?:-->|$)|<(script|style|title|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|$)|<(script|style|noscript|template|svg|math|head|title|iframe|object|select|textarea|button|"
-    r"canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|$)|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>?", re.S | re.I)
+    RAW + r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?", re.S | re.I)
+DROPPED = re.compile(
+    RAW + r"|<(/?)(noscript|template|svg|math|iframe|object|select|button|canvas|audio|video)(?=[\s/>])"
+    r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+NESTING = frozenset("template svg math object".split())
 ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
                        re.I)
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp "
@@ -77,6 +81,27 @@ class Block:
         self.text, self.linked, self.bad, self.region = text, linked, bad, region
 
 
+def dropped(html: str) -> dict[int, int]:
+    """Start and end of the elements that hold no text of the page.  One that closes
+    itself ends with its tag, and so does one that is left open."""
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    for token in DROPPED.finditer(html):
+        if token[3] is None:
+            continue
+        tag = token[3].lower()
+        starts = opened.setdefault(tag, [])
+        if not token[2]:
+            ends[token.start()] = token.end()
+            if not token[4].endswith("/"):
+                starts.append(token.start())
+        elif starts:
+            ends[starts.pop()] = token.end()
+            if tag not in NESTING:
+                starts.clear()
+    return ends
+
+
 def blocks(html: str) -> list[Block]:
     """Blocks of a page in order, each with its linked characters, whether an element
     around it names itself boilerplate, and whether it is in the article."""
@@ -94,12 +119,13 @@ def blocks(html: str) -> list[Block]:
         held.clear()
 
     at = 0
-    for token in TOKEN.finditer(html):
+    ends = dropped(html)
+    while token := TOKEN.search(html, at):
         if token.start() > at:
             held.append((html[at:token.start()], links > 0))
-        at = token.end()
+        at = ends.get(token.start(), token.end())
         tag = token[3]
-        if tag is None:
+        if tag is None or token.start() in ends:
             continue
         tag, closing = tag.lower(), bool(token[2])
         if tag == "a":
@@ -109,7 +135,8 @@ def blocks(html: str) -> list[Block]:
         elif tag not in INLINE:
             end_block()
             links = 0
-            if tag in VOID or tag == "p":
+            # Between the tags of a head only raw elements hold text, so where it ends does not matter.
+            if tag in VOID or tag in ("p", "head"):
                 continue
             if not closing:
                 if not token[4].endswith("/"):
