@@ -119,6 +119,16 @@ def test_open_and_empty_elements_keep_the_text_after_them(before):
     assert html_text.main_text(f"{before}<p>{LONG_TEXT}</p>") == LONG_TEXT
 
 
+@pytest.mark.parametrize("wrapper", [
+    "<div class='content has-sidebar'>{}</div>", "<div class='no-sidebar'>{}</div>", "<div class='with-comments'>{}</div>",
+    "<div id='page-with-banner'>{}</div>", "<div class='sidebar'><article>{}</article></div>",
+    "<div class='search'><main>{}</main></div>", "<div class='search results'>{}</div>",
+    "<main><div class='sidebar'><article>{}</article></div></main>", "<main><div class='search'>{}</div></main>"])
+def test_names_of_wrappers_keep_the_text(wrapper):
+    beside = f"<div class='sidebar-left'><p>{LONG_TEXT[:200]}</p></div><div class='comment'>{LONG_TEXT[:99]}</div>"
+    assert html_text.main_text(wrapper.format(f"<p>{LONG_TEXT}</p>") + beside) == LONG_TEXT
+
+
 @pytest.mark.parametrize("operator, sql", [(line_dedup.dedup_lines, line_dedup.SQL), (licenses.scan, licenses.SQL)])
 def test_native_operators_match_sql(spark, operator, sql):
     engine = duckdb.connect()

@@ -1,8 +1,9 @@
 """Main text of web pages by two passes of rules over blocks.
 
 A page becomes blocks: the text between tags that break lines.  The first pass
-decides what it can: blocks in elements that name themselves boilerplate and blocks
-that are mostly links are out; long blocks, and shorter ones with stop words, are
+decides what it can: blocks in elements that name themselves boilerplate (by tag, role,
+class or id; a class or id does not count on an element that holds the main text) and
+blocks that are mostly links are out; long blocks, and shorter ones with stop words, are
 in.  Where articles outside boilerplate hold most of the text, blocks outside them are
 out too; otherwise (teasers or comments that are articles) all blocks are judged alike.
 The second pass gives every undecided block the label of the nearest decided
@@ -53,6 +54,7 @@ STOP_WORDS = frozenset(
     "with you der die das und ist im den von zu mit sich des ein eine nicht auf für es dem als auch an le la les de du "
     "et un une est que qui dans pour pas sur au aux par avec en el los las y del por con una para se su lo".split())
 LONG, SHORT, STOP_DENSITY, LINK_DENSITY = 140, 40, 0.15, 0.5
+PARTS = frozenset("has have no not with without".split())
 SPLIT_NAMES = re.compile(r"[^a-z0-9]+")
 
 
@@ -69,16 +71,41 @@ def _named_bad(tag: str, attributes: str, in_article: bool) -> bool:
             return True
         if name == "role" and value.strip() in BAD_ROLES:
             return True
-        if name in ("class", "id") and not BAD_NAMES.isdisjoint(SPLIT_NAMES.split(value)):
-            return True
     return False
 
 
+def _name_is_bad(tag: str, attributes: str) -> bool:
+    """Whether a class or the id is a boilerplate name, or begins or ends with one and
+    does not say that the element has, or has not, such a part."""
+    if tag in ("html", "body", "article", "main") or not attributes:
+        return False
+    for name, *values in ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id"):
+            continue
+        for one in next(filter(None, values), "").lower().split():
+            words = [w for w in SPLIT_NAMES.split(one) if w]
+            if words and PARTS.isdisjoint(words) and not BAD_NAMES.isdisjoint((one, words[0], words[-1])):
+                return True
+    return False
+
+
+class Mark:
+    """An element that only its name marks as boilerplate, and what it holds."""
+
+    __slots__ = ("parent", "within", "good", "articles", "in_articles", "main")
+
+    def __init__(self, parent: int, within: bool) -> None:
+        self.parent, self.within = parent, within
+        self.good = self.articles = self.in_articles = 0
+        self.main = False
+
+
 class Block:
-    __slots__ = ("text", "linked", "bad", "region")
+    __slots__ = ("text", "linked", "bad", "region", "article", "mark")
 
-    def __init__(self, text: str, linked: int, bad: bool, region: bool) -> None:
-        self.text, self.linked, self.bad, self.region = text, linked, bad, region
+    def __init__(self, text: str, linked: int, bad: bool, region: bool, article: bool, mark: int) -> None:
+        self.text, self.linked, self.bad = text, linked, bad
+        self.region, self.article, self.mark = region, article, mark
 
 
 def dropped(html: str) -> dict[int, int]:
@@ -106,16 +133,17 @@ def blocks(html: str) -> list[Block]:
     """Blocks of a page in order, each with its linked characters, whether an element
     around it names itself boilerplate, and whether it is in the article."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, bad, in the article
+    stack: list[tuple[str, bool, bool, bool, int]] = []  # tag, bad, in <article> or <main>, in <article>, innermost mark
+    marks: list[Mark] = []
     held: list[tuple[str, bool]] = []
-    bad = region = False
-    links = 0
+    bad = region = article = False
+    links, mark = 0, -1
 
     def end_block() -> None:
         text = " ".join(unescape("".join(t for t, _ in held)).split())
         if text:
             linked = sum(len(" ".join(unescape(t).split())) for t, in_link in held if in_link)
-            out.append(Block(text, linked, bad, region))
+            out.append(Block(text, linked, bad, region, article, mark))
         held.clear()
 
     at = 0
@@ -140,22 +168,64 @@ def blocks(html: str) -> list[Block]:
                 continue
             if not closing:
                 if not token[4].endswith("/"):
-                    stack.append((tag, bad, region))
+                    stack.append((tag, bad, region, article, mark))
                 bad = bad or _named_bad(tag, token[4], region)
-                region = region or tag in ("article", "main")
+                if not bad and _name_is_bad(tag, token[4]):
+                    marks.append(Mark(mark, article))
+                    mark = len(marks) - 1
+                if tag in ("article", "main"):
+                    if mark >= 0 and not bad:
+                        marks[mark].main |= tag == "main"
+                        marks[mark].articles += tag == "article" and not article
+                    region, article = True, article or tag == "article"
             else:
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        _, bad, region = stack[i]
+                        _, bad, region, article, mark = stack[i]
                         del stack[i:]
                         break
     rest = html[at:]
     if rest and not re.match(r"<[a-z/!?][^>]*$", rest, re.I):
         held.append((rest, links > 0))
     end_block()
+    settle(out, marks)
     return out
 
 
+def settle(found: list[Block], marks: list[Mark]) -> None:
+    """Makes the blocks in marked elements bad, unless the element holds the main text:
+    <main>, or one article with most of the articles' long or stop-word-rich text and
+    more of it than stands in no marked element, or most of that text on a page with no
+    article.  A part of an article is never spared so."""
+    if not marks:
+        return
+    total = unmarked = in_articles = 0
+    for block in found:
+        if not block.bad and first_pass(block, False):
+            total += len(block.text)
+            in_articles += len(block.text) * block.article
+            if block.mark < 0:
+                unmarked += len(block.text)
+            else:
+                marks[block.mark].good += len(block.text)
+                marks[block.mark].in_articles += len(block.text) * block.article
+    for mark in reversed(marks):
+        if mark.parent >= 0:
+            around = marks[mark.parent]
+            around.good += mark.good
+            around.articles += mark.articles
+            around.in_articles += mark.in_articles
+            around.main |= mark.main
+    no_article = not any(b.article and not b.bad for b in found)
+    bad: list[bool] = []
+    for mark in marks:
+        the_article = mark.articles == 1 and mark.in_articles > max(unmarked, in_articles // 2)
+        spared = not mark.within and (mark.main or the_article or no_article and 2 * mark.good > total)
+        bad.append(mark.parent >= 0 and bad[mark.parent] or not spared)
+    for block in found:
+        block.bad = block.bad or block.mark >= 0 and bad[block.mark]
+
+
 def first_pass(block: Block, article: bool) -> bool | None:
     if block.bad or article and not block.region:
         return False
