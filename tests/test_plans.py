@@ -182,6 +182,25 @@ def test_bucketed_silver_joins_without_moving_either_side(spark, store, small_br
             *again["transaction_risk"].columns)).isEmpty()
 
 
+def test_bucketed_silver_quarantines_rows_without_a_key(spark, store):
+    from tidemark.contracts import BY_TABLE
+    from tidemark.plans.medallion import Settings, build_silver
+    raw = {name: materialise(build(spark, FOLDER), "raw")
+           for name, build in fixtures.BUILDERS.items()}
+    shared = [BY_TABLE["transactions"], BY_TABLE["transaction_risk"]]
+    for entity in shared:
+        rows = raw[entity.source]
+        raw[entity.source] = rows.unionByName(rows.limit(5).withColumn("TRANSACTION_ID", F.lit(None).cast("string")))
+    found = []
+    for buckets in (0, 8):
+        build_silver(store, raw, Settings(buckets=buckets))
+        found.append([(
+            store.read("silver", e.table).count(), store.read("silver", e.quarantine).count(),
+            store.read("silver", e.quarantine).filter(F.col(e.key).isNull()).count()) for e in shared])
+    assert found[1] == found[0]
+    assert all(unkeyed >= 5 for _, _, unkeyed in found[1])
+
+
 @pytest.fixture
 def small_data_counts_as_skewed(spark, small_broadcasts_off):
     changed = {

@@ -62,7 +62,8 @@ def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
     row whose parent was itself quarantined is quarantined too.  A plan that
     only joins the rows to valid parents makes that check by its join and may
     leave it out here.  ``joined_next`` says that the plan goes on to join on the
-    entity's key, so the rows should stay partitioned by it.
+    entity's key, so the rows should stay partitioned by it; rows without a key are
+    then left to ``flag_unkeyed``.
     """
     checked = entity.parent is not None and check_parent
     rows = latest_conformed(raw, entity, joined_next or checked)
@@ -81,6 +82,12 @@ def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
     return flag_quality(rows, rules, entity.reason, detail).drop("_parent")
 
 
+def flag_unkeyed(raw: DataFrame, entity: Entity) -> DataFrame:
+    """The rows that ``flag_entity`` with ``joined_next`` leaves out, all of them invalid."""
+    rows = unkeyed_rows(conform(raw, entity), [entity.key])
+    return flag_quality(rows, {"key": F.lit(False)}, entity.reason)
+
+
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once, with their row counts."""
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter(F.col("row_count") > 1)

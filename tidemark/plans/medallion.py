@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.contracts import ENTITIES, GOLD_TABLES, SOURCE_COLUMNS, Entity
 from tidemark.operators import profile, reconcile, star
 from tidemark.operators.conform import RunInfo, with_gold_lineage, with_lineage
-from tidemark.operators.quality import FLAG, REASON, flag_entity
+from tidemark.operators.quality import FLAG, REASON, flag_entity, flag_unkeyed
 from tidemark.operators.validation import Loaders, raise_on_failure, validate_sources
 from tidemark.plans.audit import RunLog
 from tidemark.session import concurrently
@@ -72,6 +72,9 @@ def build_silver(store: LayerStore, raw: Mapping[str, DataFrame], settings: Sett
                 location).filter(F.col(FLAG))
         buckets = settings.bucketing(entity)
         flagged = flag_entity(raw[entity.source], entity, parent, joined_next=bool(buckets))
+        if buckets:
+            # All go to quarantine, so the valid half stays partitioned by the key.
+            flagged = flagged.unionByName(flag_unkeyed(raw[entity.source], entity))
         system = F.when(F.col(FLAG), settings.source_system).otherwise("quality")
         flagged = with_lineage(flagged, settings.run, system)
         layouts[entity.table] = (
