@@ -82,6 +82,20 @@ def test_nearest_vectors(vectors):
     assert hnsw.nearest(vectors.limit(0)).count() == 0
 
 
+def test_recall_of_a_full_shard():
+    rng = np.random.default_rng(5)
+    unit = rng.normal(size=(200, 64))[rng.integers(0, 200, 8192)] + rng.normal(scale=0.35, size=(8192, 64))
+    unit[:2730] = rng.normal(size=64) + rng.normal(scale=0.2, size=(2730, 64))
+    unit = rng.permutation(unit / np.linalg.norm(unit, axis=1)[:, None])
+    graph, hits = hnsw.build(unit), 0
+    for q in range(200):
+        near = unit @ unit[q]
+        near[q] = -2
+        found = [p for p in hnsw.search(unit, graph, unit[q], 96)[0].tolist() if p != q][:5]
+        hits += len(set(found) & set(np.argsort(-near)[:5].tolist()))
+    assert hits >= 0.9 * 1000
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 200)] + [(300, 300)]
     df = spark.createDataFrame(edges, "a long, b long")
