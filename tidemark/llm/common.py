@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,9 +44,8 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = 4_000_000) -> Iterat
     """``batch`` in slices of at most ``limit`` bytes of ``column`` (one row at least),
     so that what Python builds for a slice is bounded whatever the texts' lengths."""
     values = batch.column(column)
-    sizes = np.diff(np.frombuffer(values.buffers()[1], np.int32, len(values) + 1, values.offset * 4))
     first, held = 0, 0
-    for row, size in enumerate(sizes.tolist()):
+    for row, size in enumerate(pc.fill_null(pc.binary_length(values), 0).to_pylist()):
         if held and held + size > limit:
             yield batch.slice(first, row - first)
             first, held = row, 0
@@ -67,6 +67,28 @@ def held(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.withColumn(name, F.explode(F.array(value)))
 
 
+def likely_members(df: DataFrame, key: str, members: DataFrame, most_bits: int = 1 << 26) -> DataFrame:
+    """Adds ``likely`` to the rows of ``df``: true wherever ``key`` is one of the keys in the
+    only column of ``members``, and for few others; null keys are never members.
+
+    Spark packs hashes of the keys into bitmaps of 4 kB, at most ``most_bits`` bits in all
+    (8 MB), so what is broadcast has a fixed bound.  Rows that cannot be members then need
+    not be shuffled to find that out; beyond the bound more rows pass, never fewer.
+    """
+    keys = members.select(F.col(members.columns[0]).alias("member")).where("member is not null")
+    bits = min(most_bits, max(1 << 15, 1 << (32 * max(1, keys.count()) - 1).bit_length()))
+    place = lambda column: F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
+    bitmaps = (keys.select(place("member").alias("place"))
+               .groupBy(F.expr("bitmap_bucket_number(place)").alias("_bucket"))
+               .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("_bitmap")))
+    marked = df.withColumn("_place", place(key)).withColumn("_bucket", F.expr("bitmap_bucket_number(_place)"))
+    joined = marked.join(F.broadcast(bitmaps), "_bucket", "left")
+    byte = "conv(hex(substring(_bitmap, cast(bitmap_bit_position(_place) / 8 as int) + 1, 1)), 16, 10)"
+    return joined.select(*df.columns, F.expr(
+        f"coalesce(shiftright(cast({byte} as int), cast(bitmap_bit_position(_place) % 8 as int)) & 1, 0) = 1 and {key} is not null"
+    ).alias("likely"))
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): rows (node, root), root
     the smallest node reachable.  Nodes without edges are not in the result.

@@ -8,14 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import hnsw, html_text, jaccard, licenses, line_dedup, pq_dedup, quality, substring
+from tidemark.llm import (
+    filter_audit,
+    hnsw,
+    html_text,
+    jaccard,
+    licenses,
+    line_dedup,
+    personal_data,
+    pq_dedup,
+    quality,
+    substring,
+    whitening,
+)
 from tidemark.llm.bpe import decode, encode
 from tidemark.llm.common import read
 from tidemark.llm.digests import ids_crc32, sha256
 from tidemark.llm.packing import pack
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op4_line_dedup": line_dedup.SQL, "op5_licenses": licenses.SQL}
+ORACLE: dict[str, str] = {"op4_line_dedup": line_dedup.SQL, "op5_licenses": licenses.SQL, "op13_filter_audit": filter_audit.SQL}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -79,3 +91,25 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ",").cast("binary"), 256).alias("ids_sha256"),
         sha256("text").alias("decoded_sha256"))
+
+
+@query
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    rows = whitening.whiten(read(spark, folder, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+@query
+def op12_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    rows = personal_data.find(read(spark, folder, "documents"))
+    listed = lambda rule: F.expr(
+        f"array_join(transform(filter(spans, s -> {rule}), s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.base and s.kind = '{kind}')) as long)").alias(f"n_{kind}")
+              for kind in personal_data.BASE]
+    return rows.select("doc_id", *counts, F.sha2(listed("s.base").cast("binary"), 256).alias("base_sha256"),
+                       listed("true").alias("spans"))
+
+
+@query
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(read(spark, folder, "documents"), read(spark, folder, "labels"))
