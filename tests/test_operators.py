@@ -24,6 +24,7 @@ from tidemark.operators.quality import (
     flag_quality,
     split_quality,
 )
+from tidemark.operators.rule_scan import RuleError, library_rules, scan_with_rules
 from tidemark.operators.upsert import DuplicateKeyError, upsert, upsert_newest
 from tidemark.operators.validation import (
     ValidationError,
@@ -483,3 +484,28 @@ def test_wide_identifiers_are_valid(spark):
 def test_anchored_rules_of_a_caller_see_every_line(spark):
     rules = {"begin": "^BEGIN", "end": "here$"}
     assert findings(spark, "first\nBEGIN\nit is here\nlast", extra_rules=rules) == [(2, "begin"), (3, "end")]
+
+
+def test_a_callers_rule_may_reuse_a_name(spark):
+    df = spark.createDataFrame([("a", "mykey = ABC123")], "name string, text string")
+    assert [r.rule for r in scan.scan_text(df, "name", "text", extra_rules={"jwt": "mykey = [A-Z0-9]+"}).collect()] == ["jwt"]
+
+
+def test_rule_tables_find_what_single_rules_find(spark):
+    texts = [("a", "x\nAccountKey=" + "k" * 40 + "\r\nghp_" + "a" * 30), ("b", None), ("c", ""), ("d", "İİ dapi" + "0" * 30 + "\u2028DAPI" + "f" * 24),
+             ("e", "acme-demo.snowflakecomputing.com and real.snowflakecomputing.com"), ("f", "ghp_short\n" * 50)]
+    df = spark.createDataFrame(texts, "name string, text string")
+    rules = library_rules(spark)
+    found = sorted(map(tuple, scan_with_rules(df, "name", "text", rules).collect()))
+    assert found == sorted(map(tuple, scan.scan_text(df, "name", "text").collect())) and len(found) == 5
+    more = spark.range(3000).selectExpr("'r' || id as rule", "'none' || id as pattern", "array('none' || id) as words")
+    assert sorted(map(tuple, scan_with_rules(df, "name", "text", rules.union(more)).collect())) == found
+    assert scan_with_rules(df, "name", "text", rules.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("rule", [("x", "x", []), ("x", "x", None), ("jwt", "x", ["x"]), ("x", "x" * 2500, ["x"])])
+def test_rule_tables_that_cannot_be_held_are_refused(spark, rule):
+    rules = library_rules(spark).union(spark.createDataFrame([rule], "rule string, pattern string, words array<string>"))
+    df = spark.createDataFrame([("a", "x")], "name string, text string")
+    with pytest.raises(RuleError):
+        scan_with_rules(df, "name", "text", rules, most_rule_bytes=2500)

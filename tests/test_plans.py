@@ -266,3 +266,47 @@ def test_a_date_range_skips_most_of_the_sorted_files(spark, store):
     scan = recent._jdf.queryExecution().executedPlan().collectLeaves().head()
     assert total == 44_816
     assert scan.metrics().get("numOutputRows").get().value() < 0.6 * total
+
+
+def test_ranges_of_time_are_in_few_files(spark, store):
+    before = {c: spark.conf.get(c, None) for c in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        rows = spark.range(200_000).select(
+            F.col("id"), (F.col("id") % 20 > 0).alias("is_valid"),
+            F.expr("timestamp '2024-01-01' + make_dt_interval(cast(pmod(xxhash64(id), 300) as int))").alias("t"))
+        held = {}
+        for cluster in (False, True):
+            location = store.stage_flagged(rows.repartition(30), "silver", f"t{cluster}", sort_by="t", by_range=cluster)
+            valid = spark.read.parquet(store.half(location, True))
+            recent = valid.filter("t >= timestamp '2024-10-01'").select(F.input_file_name().alias("f"))
+            held[cluster] = (recent.distinct().count(), valid.select(F.input_file_name()).distinct().count(), recent.count())
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value) if value else spark.conf.unset(c)
+    assert held[False][2] == held[True][2] and held[False][0] == held[False][1] == 30
+    assert held[True][0] <= held[True][1] / 2
+
+
+def test_chosen_keys_are_joined_before_copies_are_compared(spark, small_broadcasts_off):
+    from tidemark.operators.conform import latest_conformed
+    raw = materialise(fixtures.transactions(spark, FOLDER), "raw")
+    keys = spark.createDataFrame([(k,) for k in ("TXN-000000011", "TXN-000000021")], "id string")
+    for partitioned in (False, True):
+        rows = latest_conformed(raw, TRANSACTIONS, partitioned, keys)
+        plan = physical(rows)
+        assert plan.index("Window") < plan.index("LeftSemi")
+        expected = latest_conformed(raw, TRANSACTIONS).filter(F.col("TransactionID").isin("TXN-000000011", "TXN-000000021"))
+        assert sorted(map(str, rows.collect())) == sorted(map(str, expected.collect()))
+
+
+def test_only_few_alerts_are_broadcast(spark, small_broadcasts_off):
+    from tidemark.operators import consume
+    alerts = spark.createDataFrame([("a", "t", "low", "open", dt.datetime(2024, 1, 1))],
+                                   "AlertID string, TransactionID string, Severity string, Status string, CreatedTimestamp timestamp")
+    facts = spark.createDataFrame([("t", 1, 1.0, 1.0, "Low")], "TransactionID string, MerchantSK long, Amount double, RiskScore double, RiskBand string")
+    names = spark.createDataFrame([(1, "m", "Low")], "MerchantSK long, MerchantName string, MerchantRiskCategory string")
+    for top, broadcasts in ((25, 1), (10 ** 6, 0)):
+        report = consume.alert_drillthrough(alerts, facts, names, top)
+        assert count(physical(report), "BroadcastExchange") == broadcasts and report.count() == 1

@@ -49,38 +49,49 @@ def batch_rank(batch: str | Column, order: Sequence[str] = BATCH_ORDER) -> Colum
 
 
 def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Column],
-           keep_partitioning: bool = False) -> DataFrame:
+           keep_partitioning: bool = False, group: str | None = None) -> DataFrame:
     """One row per key: the newest by ``newest_first``, NULLs oldest.
 
     Columns not named follow as tie-breakers, so the kept row is the same on
-    every run.  Spark turns the row-number filter into a per-task group limit
-    ahead of the shuffle: a task sends at most one row per key, however many
-    copies of a key there are.
+    every run.  Spark turns the rank filter into a per-task group limit ahead of
+    the shuffle: a task sends at most one row per key, however many copies of a
+    key there are.
 
     The key's hash leads the sort, because ids share a long common prefix and
     would be compared in full; eight bytes of hash decide nearly every
     comparison.  ``keep_partitioning`` leaves it out, so that the result is
     partitioned by the key alone and a join on the key needs no further shuffle.
 
-    Rows without a whole key are no copies of each other: every one is kept.
+    Rows without a whole key are no copies of each other: every one is kept, in the
+    same pass.  They are grouped by their content and input partition, and as only
+    rows with a key have a last tie-breaker, equal ones share the first rank.
+    ``group`` names a text column to add that is a single text key, or where that is
+    missing such a group; the result is then partitioned by it, for a join with texts.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in newest_first]
     named = {c for c in newest_first if isinstance(c, str)}
-    order += [F.col(f.name) for f in df.schema.fields
-              if f.name not in named and f.name not in keys
-              and f.dataType.typeName() not in ("map", "variant")]
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    order += [F.col(c) for c in plain if c not in named and c not in keys]
+    order = [c.desc_nulls_last() for c in order]
     groups = [F.col(k) for k in keys]
-    if not keep_partitioning:
-        groups.insert(0, F.xxhash64(*keys))
-    window = Window.partitionBy(*groups).orderBy(*[c.desc_nulls_last() for c in order])
     unkeyed = reduce(or_, [F.col(k).isNull() for k in keys])
-    numbered = df.filter(~unkeyed).withColumn("_row_number", F.row_number().over(window))
-    rows = numbered.filter(F.col("_row_number") == 1).drop("_row_number")
     if keep_partitioning:
         # A join on the key finds none of the rows without one, so they would only
         # cost the partitioning; see ``unkeyed_rows`` for a plan that wants them.
-        return rows
-    return rows.unionByName(df.filter(unkeyed))
+        window = Window.partitionBy(*groups).orderBy(*order)
+        numbered = df.filter(~unkeyed).withColumn("_row_number", F.row_number().over(window))
+        return numbered.filter(F.col("_row_number") == 1).drop("_row_number")
+    content = F.xxhash64(F.spark_partition_id(), *plain)
+    marked = df.withColumn("_copy", F.when(~unkeyed, F.monotonically_increasing_id()))
+    if group:
+        # No text key starts with a NUL.
+        marked = marked.withColumn(group, F.coalesce(*groups, F.concat(F.lit("\0"), content.cast("string"))))
+        window = Window.partitionBy(group)
+    else:
+        marked = marked.withColumn("_content", F.when(unkeyed, content))
+        window = Window.partitionBy(F.xxhash64(*keys), *groups, "_content")
+    ranked = marked.withColumn("_rank", F.rank().over(window.orderBy(*order, "_copy")))
+    return ranked.filter(F.col("_rank") == 1).drop("_rank", "_copy", "_content")
 
 
 def unkeyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -88,11 +99,19 @@ def unkeyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.filter(reduce(or_, [F.col(k).isNull() for k in keys]))
 
 
-def latest_conformed(df: DataFrame, entity: Entity, keep_partitioning: bool = False) -> DataFrame:
-    """Conform first, then keep the latest row of each conformed key."""
+def latest_conformed(df: DataFrame, entity: Entity, keep_partitioning: bool = False,
+                     only: DataFrame | None = None, group: str | None = None) -> DataFrame:
+    """Conform first, then keep the latest row of each conformed key.
+
+    ``only`` holds the keys that are wanted, if not all are: the rows of other keys
+    are left out before any are compared or shuffled.
+    """
     order = [batch_rank(c) if c == "SourceBatch" else c for c in entity.newest_first]
-    return latest(conform(df, entity), [entity.key], order,
-                  keep_partitioning)
+    rows = conform(df, entity)
+    if only is not None:
+        wanted = only.select(F.col(only.columns[0]).alias(entity.key))
+        rows = rows.join(wanted, entity.key, "left_semi").select(*rows.columns)
+    return latest(rows, [entity.key], order, keep_partitioning, group)
 
 
 def lineage_columns(run: RunInfo, source_system: str | Column,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.risk import HIGH_FROM
 from tidemark.operators.star import Silver, dim_merchant
 
+# The columns of the report, in its order.
 LEADERBOARD_COLUMNS = (
     "CustomerID", "CustomerRiskBand", "CustomerRiskScore", "TransactionCount30D",
     "TotalTransactionAmount30D", "AverageTransactionRiskScore", "HighRiskTransactionCount",
@@ -34,20 +35,29 @@ def risk_band_summary(profile: DataFrame) -> DataFrame:
     )
 
 
+MOST_BROADCAST = 10_000
+
+
+def newest_alerts(alerts: DataFrame, top: int) -> DataFrame:
+    return alerts.orderBy(F.desc("CreatedTimestamp"), "AlertID").limit(top)
+
+
 def alert_drillthrough(alerts: DataFrame, transactions: DataFrame, merchants: DataFrame,
                        top: int | None = 25) -> DataFrame:
     """Alerts with the transaction and merchant they point at, newest first.
 
     Takes the gold facts and dimension.  The joins are left joins on unique
     keys, so the newest alerts are chosen before anything is joined to them, and
-    their at most ``top`` ids select the facts without a shuffle.
+    their at most ``top`` ids select the facts: without a shuffle up to
+    ``MOST_BROADCAST`` of them, beyond that as Spark's size checks say.
     """
     newest = alerts.select("AlertID", "TransactionID", "Severity", "Status", "CreatedTimestamp")
     order = (F.desc("CreatedTimestamp"), F.col("AlertID"))
     facts = transactions.select("TransactionID", "MerchantSK", "Amount", "RiskScore", "RiskBand")
     if top is not None:
-        newest = newest.orderBy(*order).limit(top)
-        facts = facts.join(F.broadcast(newest.select("TransactionID")), "TransactionID",
+        newest = newest_alerts(newest, top)
+        ids = newest.select("TransactionID")
+        facts = facts.join(F.broadcast(ids) if top <= MOST_BROADCAST else ids, "TransactionID",
                            "left_semi")
     names = merchants.select("MerchantSK", "MerchantName", "MerchantRiskCategory")
     joined = newest.join(facts, "TransactionID", "left").join(names, "MerchantSK", "left")

@@ -55,7 +55,7 @@ def split_quality(df: DataFrame, rules: Mapping[str, str | Column],
 
 def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
                 detail: bool = False, check_parent: bool = True,
-                joined_next: bool = False) -> DataFrame:
+                joined_next: bool = False, only: DataFrame | None = None) -> DataFrame:
     """Latest conformed rows of an entity with their verdict.
 
     For an entity with a parent, ``parent`` holds the parent's valid rows; a
@@ -63,22 +63,23 @@ def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
     only joins the rows to valid parents makes that check by its join and may
     leave it out here.  ``joined_next`` says that the plan goes on to join on the
     entity's key, so the rows should stay partitioned by it; rows without a key are
-    then left to ``flag_unkeyed``.
+    then left to ``flag_unkeyed``.  ``only`` limits the rows to those of its keys.
     """
     checked = entity.parent is not None and check_parent
-    rows = latest_conformed(raw, entity, joined_next or checked)
     rules: dict[str, str | Column] = dict(entity.rules)
     if not checked:
+        rows = latest_conformed(raw, entity, joined_next, only)
         return flag_quality(rows, rules, entity.reason, detail)
     if parent is None:
         raise ValueError(f"{entity.table} needs the valid rows of {entity.parent[0]}")
     key = entity.parent[1]
     present = parent.select(key).distinct().withColumn("_parent", F.lit(True))
     rules["parent"] = F.col("_parent")
-    rows = rows.join(present, key, "left")
-    if not joined_next:
-        orphans = unkeyed_rows(conform(raw, entity), [entity.key])
-        rows = rows.unionByName(orphans.withColumn("_parent", F.lit(None).cast("boolean")))
+    if joined_next or key != entity.key:
+        rows = latest_conformed(raw, entity, joined_next, only).join(present, key, "left")
+    else:
+        rows = latest_conformed(raw, entity, only=only, group="_group")
+        rows = rows.join(present.withColumnRenamed(key, "_group"), "_group", "left").drop("_group")
     return flag_quality(rows, rules, entity.reason, detail).drop("_parent")
 
 

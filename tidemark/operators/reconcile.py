@@ -15,14 +15,16 @@ def _count(df: DataFrame) -> Column:
     return df.agg(F.count("*")).scalar()
 
 
-def _removed_copies(raw: DataFrame, entity: Entity) -> Column:
-    """Rows that are further copies of a conformed key; rows without one are no copies.
+def _rows_and_copies(raw: DataFrame, entity: Entity) -> Column:
+    """Rows, and rows that are further copies of a conformed key, from one scan of the
+    key; rows without one are no copies.
 
     Counted from the source alone, independently of what silver kept.
     """
     key = F.col(entity.source_key).cast("string")
     keys = raw.select((F.trim(key) if entity.source_key in entity.trimmed else key).alias("k"))
-    return keys.agg(F.count("k") - F.count_distinct("k")).scalar()
+    return keys.agg(F.struct(
+        F.count("*").alias("rows"), (F.count("k") - F.count_distinct("k")).alias("copies"))).scalar()
 
 
 def reconcile_entity(one_row: DataFrame, run: RunInfo, entity: Entity, raw: DataFrame,
@@ -30,9 +32,8 @@ def reconcile_entity(one_row: DataFrame, run: RunInfo, entity: Entity, raw: Data
                      gold: DataFrame | None = None, source: str = "source") -> DataFrame:
     """source = silver + quarantined + removed copies, and gold = silver where
     both have the same grain."""
-    counts = one_row.select(
-        _count(raw).alias("source_count"),
-        _removed_copies(raw, entity).alias("duplicate_count"),
+    counts = one_row.select(_rows_and_copies(raw, entity).alias("raw")).select(
+        F.col("raw.rows").alias("source_count"), F.col("raw.copies").alias("duplicate_count"),
         _count(silver).alias("silver_count"),
         _count(quarantine).alias("quarantine_count"),
         (_count(gold) if gold is not None else F.lit(None).cast("bigint")).alias("gold_count"),
@@ -42,7 +43,7 @@ def reconcile_entity(one_row: DataFrame, run: RunInfo, entity: Entity, raw: Data
         F.col("gold_count").isNull() | (F.col("gold_count") == F.col("silver_count")))
     return _result(counts, run, source, entity.source, "row_count_minus_quarantine",
                    F.when(agrees, "PASS").otherwise("FAIL"),
-                   F.concat(F.lit("expected silver="), expected.cast("string")))
+                   F.format_string("silver should have %s rows", expected))
 
 
 def reconcile_relationship(one_row: DataFrame, run: RunInfo, alerts: DataFrame,
@@ -58,7 +59,7 @@ def reconcile_relationship(one_row: DataFrame, run: RunInfo, alerts: DataFrame,
     return _result(counts, run, "cross_domain", "fraud_alerts_to_transactions",
                    "relationship_validation",
                    F.when(F.col("quarantine_count") == 0, "PASS").otherwise("WARN"),
-                   F.lit("alert TransactionID matched to transactions"))
+                   F.lit("alerts whose transaction is not valid"))
 
 
 def _result(counts: DataFrame, run: RunInfo, source: str, name: str, kind: str,

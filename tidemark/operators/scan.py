@@ -37,6 +37,7 @@ SAFE_LITERALS: Sequence[str] = (
     "org-account.privatelink.snowflakecomputing.com",
     "acme-demo.snowflakecomputing.com",
 )
+# Fixed value: what a known literal is replaced by.
 SAFE_REPLACEMENT = "<known-test-fixture>"
 
 # A user rule for tokens assigned as 40 hex digits.
@@ -80,7 +81,7 @@ def scan_text(df: DataFrame, label: str, text: str,
     texts = df.select(F.col(label), blanked.alias("_text"))
     texts = texts.withColumn("_folded", F.lower("_text"))
     possible = F.array_compact(F.array(*[
-        F.when(_may_match(pattern, required_words.get(name, ()), name in SECRET_RULES), F.lit(name))
+        F.when(_may_match(pattern, *_known(name, pattern, required_words)), F.lit(name))
         for name, pattern in rules.items()]))
     texts = texts.withColumn("_possible", possible)
     lines = texts.select(label, "_possible", F.posexplode(
@@ -93,6 +94,14 @@ def scan_text(df: DataFrame, label: str, text: str,
                         F.explode(hits).alias("rule"))
 
 
+def _known(name: str, pattern: str, required_words: Mapping[str, Sequence[str]]) -> tuple[Sequence[str], bool]:
+    """The words a rule needs, and whether the pattern is the library's own.  Its words say
+    nothing about another pattern that a caller gives the same name."""
+    own = pattern in (SECRET_RULES.get(name), HEX_TOKEN_RULE.get(name))
+    words = required_words.get(name, ()) if own or required_words is not REQUIRED_WORDS else ()
+    return words, own and name in SECRET_RULES
+
+
 def _may_match(pattern: str, words: Sequence[str], own: bool) -> Column:
     """True for every text with a matching line, and possibly for others.
 

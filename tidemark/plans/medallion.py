@@ -30,7 +30,9 @@ class Settings:
     ``partitions`` maps a gold table to the columns its files are split by, for
     example ``{"FactTransactions": ("DateKey",)}``.  ``buckets`` hashes silver
     transactions and scores by their shared key, so that gold joins them without
-    moving either; set it to ``spark.sql.shuffle.partitions``.
+    moving either; set it to ``spark.sql.shuffle.partitions``.  ``date_ranges``
+    writes ranges of event time to files of their own, for silver tables that are read by date far
+    more often than written; it costs a shuffle of each and is left out of bucketed ones.
     """
 
     run: RunInfo = RunInfo()
@@ -39,6 +41,7 @@ class Settings:
     dates_cover_alerts: bool = False
     partitions: Mapping[str, Sequence[str]] = field(default_factory=dict)
     buckets: int = 0
+    date_ranges: bool = False
     workers: int = 4
 
     def bucketing(self, entity: Entity) -> Buckets | None:
@@ -78,7 +81,8 @@ def build_silver(store: LayerStore, raw: Mapping[str, DataFrame], settings: Sett
         system = F.when(F.col(FLAG), settings.source_system).otherwise("quality")
         flagged = with_lineage(flagged, settings.run, system)
         layouts[entity.table] = (
-            store.stage_flagged(flagged, "silver", entity.table, buckets, entity.event_time),
+            store.stage_flagged(flagged, "silver", entity.table, buckets, entity.event_time,
+                                settings.date_ranges),
             flagged)
 
     for wave in ([e for e in entities if not e.parent], [e for e in entities if e.parent]):

@@ -392,6 +392,24 @@ _FINAL: dict[str, str] = {
         for name, step in _GOLD_COUNTS.items()),
     "incremental_apply": "SELECT * FROM changed",
     "stream_upsert_events": "SELECT * FROM changed",
+    "stream_merge_events": "SELECT * FROM changed",
+    "keyed_change_apply": """
+        SELECT event_id, ts, user_id, event_type,
+               CASE WHEN event_id % 100 = 7 THEN value + 1000 ELSE value END AS value, props
+        FROM events""",
+    "bronze_batch_merge": """
+        SELECT object, row_key, fields, CASE WHEN right(row_key, 1) IN ('0', '5')
+               THEN 'incremental' ELSE 'initial' END AS SOURCE_BATCH
+        FROM (SELECT 'MERCHANTS' AS object, MerchantID AS row_key, coalesce(MerchantName
+                     || CASE WHEN right(MerchantID, 1) = '0' THEN ' Ltd' ELSE '' END, '') || '|'
+                     || coalesce(Country, '') || '|' || MerchantRiskCategory AS fields FROM con_mer
+              UNION ALL SELECT 'DEVICES', DeviceID, CustomerID || '|'
+                     || CASE WHEN Trusted THEN 'True' ELSE 'False' END || '|'
+                     || CASE WHEN right(DeviceID, 1) = '0' THEN 'iOS' ELSE 'Android' END FROM con_dev
+              UNION ALL SELECT 'FRAUD_ALERTS', AlertID, CustomerID || '|' || CASE Severity
+                     WHEN 'critical' THEN 'CRITICAL' WHEN 'high' THEN 'HIGH'
+                     WHEN 'medium' THEN 'Medium' ELSE Severity END || '|'
+                     || CASE WHEN right(AlertID, 1) = '0' THEN 'CLOSED' ELSE 'OPEN' END FROM con_ale)""",
     "conform_transactions": "SELECT * FROM con_txn",
     "conform_sessions": "SELECT * FROM con_ses",
     "conform_alerts": "SELECT * FROM con_ale",
@@ -430,6 +448,22 @@ _FINAL: dict[str, str] = {
         GROUP BY TRANSACTION_ID HAVING count(*) > 1""",
     "reconciliation": _reconciliation(),
     "audit_log_upsert": _audit(),
+    "audit_log_failure": f"""
+        SELECT 'run-1' AS pipeline_run_id, '2024-01-31' AS run_date, stage, 'Failed' AS status,
+               CAST(rows_read AS BIGINT) AS rows_read, CAST(rows_written AS BIGINT) AS rows_written,
+               'source validation failed for 1 object(s)' AS error_message
+        FROM (SELECT 'pipeline' AS stage, 0 AS rows_read, 0 AS rows_written UNION ALL
+              SELECT 'source_validation', {_source_total()} - (SELECT count(*) FROM con_mer), 6)""",
+    "source_validation_failures": " UNION ALL ".join(
+        f"SELECT 'run-1' AS pipeline_run_id, '2024-01-31' AS run_date, 'source' AS source, "
+        f"'{name}' AS object, {size} AS source_count, 'source_read_and_schema' AS validation_type, "
+        f"'{'FAIL' if problem else 'PASS'}' AS status, '{problem or 'readable and complete'}' AS notes"
+        for name, size, problem in [
+            *((name, f"(SELECT count(*) FROM con_{step})", None) for name, step, _ in _ENTITIES
+              if step in ("txn", "risk", "ses")),
+            ("DEVICES", "(SELECT count(*) FROM con_dev)", "columns absent: TRUSTED"),
+            ("MERCHANTS", "CAST(0 AS BIGINT)", "no rows"),
+            ("FRAUD_ALERTS", "CAST(0 AS BIGINT)", "OSError: no such object")]),
     "orphan_alerts": """
         SELECT AlertID, TransactionID FROM ale
         WHERE TransactionID IS NOT NULL AND TransactionID NOT IN (SELECT TransactionID FROM txn)""",
@@ -517,3 +551,20 @@ ORACLE: dict[str, str] = {name: _statement(final) for name, final in _FINAL.item
 ORACLE["secret_scan_documents"] = _scan("documents", "doc_id", "doc_id")
 ORACLE["secret_scan_conversations"] = _scan(
     "conversations", "CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR)", "label")
+
+# What ``secret_scan_planted`` plants, by the customer's number; written down here and not
+# worked out from the patterns.
+_PLANTED = ("azure-storage-key", "sas-signature", "github-token", "databricks-token", "jwt", "private-key",
+            "literal-secret", "literal-bearer", "live-environment-guid", "snowflake-snowsight-account-url",
+            "snowflake-account-host")
+_PLANTED_ROWS = (f"SELECT 'c' || CAST(c_custkey AS VARCHAR) AS label, CAST(2 AS INTEGER) AS line, "
+                 f"{list(_PLANTED)}[c_custkey % 12 + 1] AS rule FROM customer WHERE c_custkey % 12 < 11")
+ORACLE["secret_scan_planted"] = _PLANTED_ROWS
+ORACLE["rule_table_scan"] = r"""
+    SELECT DISTINCT label, line, 'mail-host-' || host AS rule FROM (
+        SELECT 'd' || CAST(doc_id AS VARCHAR) AS label, CAST(i AS INTEGER) AS line,
+               unnest(regexp_extract_all(parts[i], '[a-z.]+[0-9]{2}@mail([0-9]+)\.example\.com', 1)) AS host
+        FROM (SELECT doc_id, regexp_split_to_array(text, '\r\n|[\n\x0b\f\r\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]') AS parts
+              FROM documents), unnest(generate_series(1, len(parts))) AS n(i))
+    WHERE CAST(host AS INTEGER) < 1000 AND host = CAST(CAST(host AS INTEGER) AS VARCHAR)
+    UNION ALL """ + f"SELECT * FROM ({_PLANTED_ROWS}) WHERE rule <> 'live-environment-guid'"

@@ -8,7 +8,9 @@ stand for; timestamps are returned without a zone.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +27,11 @@ from tidemark.operators.conform import (
     with_lineage,
 )
 from tidemark.operators.quality import FLAG, REASON, duplicate_keys, flag_entity, valid_rows
+from tidemark.operators.rule_scan import library_rules, scan_with_rules
 from tidemark.operators.scan import HEX_TOKEN_RULE, scan_text
 from tidemark.operators.upsert import upsert
-from tidemark.operators.validation import validate_batch, validate_sources
-from tidemark.plans.audit import LOG_TABLE
+from tidemark.operators.validation import ValidationError, validate_batch, validate_sources
+from tidemark.plans.audit import run_log
 from tidemark.plans.medallion import (
     Settings,
     bronze_loaders,
@@ -40,6 +43,7 @@ from tidemark.plans.medallion import (
 )
 from tidemark.session import concurrently, fresh_location, materialise, prepare
 from tidemark.sources import csv_batch, fixtures
+from tidemark.sources.keyed import KeyedLayer
 from tidemark.sources.layers import LayerStore
 from tidemark.sources.serving import publish_tables, refresh_serving, view_counts
 from tidemark.streaming import keyed_upsert
@@ -108,11 +112,20 @@ def _written_silver(spark: SparkSession, folder: str, *tables: str,
     return concurrently({t: lambda t=t: write(t) for t in tables})
 
 
-def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Scores in range, for plans that join them to valid transactions only."""
+def _scores(spark: SparkSession, folder: str, only: DataFrame | None = None) -> DataFrame:
+    """Scores in range, for plans that join them to valid transactions only; ``only``
+    holds the ids that are wanted."""
     entity = BY_TABLE["transaction_risk"]
     return valid_rows(flag_entity(fixtures.transaction_risk(spark, folder), entity,
-                                  check_parent=False))
+                                  check_parent=False, joined_next=True, only=only))
+
+
+def _recent_scores(spark: SparkSession, folder: str, transactions: DataFrame,
+                   last: dt.date | None) -> DataFrame:
+    """Scores of the transactions of the 30 days before ``last``: those of all others are
+    left out before copies are compared."""
+    recent = transactions.filter(profile.within_window("TransactionTimestamp", last))
+    return _scores(spark, folder, recent.select("TransactionID"))
 
 
 PROFILE_COLUMNS = ("TransactionID", "CustomerID", "TransactionTimestamp", "Amount")
@@ -125,8 +138,10 @@ def _profile(spark: SparkSession, folder: str) -> DataFrame:
         sessions=("CustomerID", "DeviceID", "LoginTimestamp", "FailedAttempts", "Country"),
         devices=("CustomerID", "Trusted"),
         fraud_alerts=("CustomerID", "AlertID"))
-    silver["transaction_risk"] = _scores(spark, folder)
-    return profile.customer_risk_profile(silver)
+    dates = profile.as_of(silver)
+    silver["transaction_risk"] = _recent_scores(
+        spark, folder, silver["transactions"], dates.transactions)
+    return profile.customer_risk_profile(silver, dates)
 
 
 def _written_profile(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,6 +224,64 @@ def incremental_apply(spark: SparkSession, folder: str) -> DataFrame:
     return upsert(base, changes, ["event_id"])
 
 
+@registered
+def keyed_change_apply(spark: SparkSession, folder: str) -> DataFrame:
+    """One event in a hundred restated and one added, without a rewrite of the others."""
+    events = fixtures.table(spark, folder, "events")
+    part = F.col("event_id") % 100
+    layer = KeyedLayer(spark, fresh_location(spark, "keyed"), buckets=16)
+    layer.upsert("events", events.filter(part != 13), ["event_id"])
+    raised = F.when(part == 7, F.col("value") + 1000).otherwise(F.col("value"))
+    layer.upsert("events", events.filter(part.isin(7, 13)).withColumn("value", raised), ["event_id"])
+    layer.fold("events", least_share=0.5)
+    return layer.read("events")
+
+
+@registered
+def stream_merge_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Loads merged as they arrive: a base and its changes; then, in a second run, older
+    rows that come late and the changes once more."""
+    base, changes = fixtures.event_changes(spark, folder)
+    late = changes.withColumns({"ts": F.col("ts") - F.expr("interval 1 day"), "value": F.col("value") - 5})
+    root = fresh_location(spark, "stream")
+    layer = KeyedLayer(spark, f"{root}/table", buckets=16)
+    for arriving in ({1: base, 2: changes}, {3: late, 4: changes}):
+        for number, load in arriving.items():
+            load.write.parquet(f"{root}/landing/load={number}")
+        keyed_upsert.start_keyed_merge(
+            spark, f"{root}/landing", base.schema, layer, "events", ["event_id"], ["ts"],
+            f"{root}/checkpoint").awaitTermination()
+    return layer.read("events")
+
+
+@registered
+def bronze_batch_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """An initial and an incremental CSV batch merged into bronze; the rows as merged."""
+    restated = {"MERCHANTS": {"MERCHANT_NAME": F.concat("MERCHANT_NAME", F.lit(" Ltd"))},
+                "DEVICES": {"OPERATING_SYSTEM": F.lit("iOS")}, "FRAUD_ALERTS": {"STATUS": F.lit("CLOSED")}}
+    batches = {"initial": {}, "incremental": {}}
+    for name, changed in restated.items():
+        rows = fixtures.BUILDERS[name](spark, folder)
+        digit = F.substring(BY_SOURCE[name].source_key, -1, 1)
+        more = rows.filter(digit.isin("0", "5")).withColumn("SOURCE_BATCH", F.lit("incremental"))
+        batches["initial"][name] = rows.filter(digit != "5")
+        batches["incremental"][name] = more.withColumns(
+            {c: F.when(digit == "0", v).otherwise(F.col(c)) for c, v in changed.items()})
+    layer = KeyedLayer(spark, fresh_location(spark, "bronze"), buckets=16)
+    for batch, tables in batches.items():
+        place = fresh_location(spark, f"batch-{batch}")
+        csv_batch.write_batch(tables, place, batch)
+        csv_batch.merge_batch(layer, place)
+    shown = {"MERCHANTS": ("MERCHANT_NAME", "COUNTRY", "MERCHANT_RISK_CATEGORY"),
+             "DEVICES": ("CUSTOMER_ID", "TRUSTED", "OPERATING_SYSTEM"),
+             "FRAUD_ALERTS": ("CUSTOMER_ID", "SEVERITY", "STATUS")}
+    parts = [layer.read(name).select(
+        F.lit(name).alias("object"), F.col(BY_SOURCE[name].source_key).alias("row_key"),
+        F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in columns]).alias("fields"), "SOURCE_BATCH")
+        for name, columns in shown.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @registered
 def stream_upsert_events(spark: SparkSession, folder: str) -> DataFrame:
     """Three arriving loads: a base, its changes, and the changes once more."""
@@ -281,6 +354,19 @@ def source_validation(spark: SparkSession, folder: str) -> DataFrame:
     return validate_sources(spark, loaders, RUN)
 
 
+@registered
+def source_validation_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Findings on an object without a required column, an empty one and an unreadable one."""
+    def unreadable() -> DataFrame:
+        raise OSError("no such object")
+
+    sources = fixtures.source_tables(spark, folder)
+    sources["DEVICES"] = sources["DEVICES"].drop("TRUSTED")
+    sources["MERCHANTS"] = sources["MERCHANTS"].filter("MERCHANT_ID IS NULL")
+    loaders = {name: lambda df=df: df for name, df in sources.items()}
+    return validate_sources(spark, loaders | {"FRAUD_ALERTS": unreadable}, RUN)
+
+
 @registered
 def batch_validation(spark: SparkSession, folder: str) -> DataFrame:
     """Check the sources as a batch whose manifest counts the tables they map."""
@@ -319,7 +405,17 @@ def audit_log_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """The log of a full run: every stage once, however often it was written."""
     store = _landed(spark, folder)
     run_medallion(store, bronze_loaders(store), Settings(run=RUN))
-    return store.read("control", LOG_TABLE).drop("started_at", "ended_at", "duration_seconds")
+    return run_log(store).drop("started_at", "ended_at", "duration_seconds")
+
+
+@registered
+def audit_log_failure(spark: SparkSession, folder: str) -> DataFrame:
+    """The log of a run whose source validation finds an empty table."""
+    store = _landed(spark, folder)
+    store.replace(store.read("bronze", "MERCHANTS").limit(0), "bronze", "MERCHANTS")
+    with suppress(ValidationError):
+        run_medallion(store, bronze_loaders(store), Settings(run=RUN))
+    return run_log(store).drop("started_at", "ended_at", "duration_seconds")
 
 
 @registered
@@ -396,8 +492,8 @@ def _rounded_average(df: DataFrame) -> DataFrame:
 def txn_profile_30d(spark: SparkSession, folder: str) -> DataFrame:
     silver = _written_silver(spark, folder, "transactions",
                              transactions=PROFILE_COLUMNS)
-    silver["transaction_risk"] = _scores(spark, folder)
     last = silver["transactions"].agg(F.to_date(F.max("TransactionTimestamp"))).first()[0]
+    silver["transaction_risk"] = _recent_scores(spark, folder, silver["transactions"], last)
     return _rounded_average(profile.transaction_profile(silver, last))
 
 
@@ -438,8 +534,13 @@ def risk_band_summary(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def alert_drillthrough(spark: SparkSession, folder: str) -> DataFrame:
     silver = _written_silver(spark, folder, "merchants", "fraud_alerts")
-    silver |= _lazy_silver(spark, folder, "transactions")
-    silver["transaction_risk"] = _scores(spark, folder)
+    ids = materialise(consume.newest_alerts(silver["fraud_alerts"], 25)
+                      .filter("TransactionID IS NOT NULL").select("TransactionID"), "newest")
+    # A key's rows are kept or left out together, so this may be done before the latest
+    # row of each is looked for.
+    silver["transactions"] = valid_rows(flag_entity(
+        fixtures.transactions(spark, folder), BY_TABLE["transactions"], joined_next=True, only=ids))
+    silver["transaction_risk"] = _scores(spark, folder, ids)
     return consume.alert_drillthrough(
         star.fact_alerts(silver), star.fact_transactions(silver), star.dim_merchant(silver))
 
@@ -514,3 +615,40 @@ def secret_scan_conversations(spark: SparkSession, folder: str) -> DataFrame:
     return scan_text(turns, "label", "text", extra_rules=HEX_TOKEN_RULE)
 
 
+def _planted(spark: SparkSession, folder: str) -> DataFrame:
+    """A text for each customer: a line of its own data and one with a credential of the
+    kind that its number names, made of its hash; every twelfth has one that is too short."""
+    m = F.md5(F.col("c_custkey").cast("string"))
+    part = lambda start, size: F.substring(m, start, size)
+    guid = F.concat(part(1, 8), F.lit("-"), part(9, 4), F.lit("-4"), part(14, 3), F.lit("-a"), part(18, 3), F.lit("-"), part(21, 12))
+    secrets = [
+        F.concat(F.lit("x AccountKey="), m, m), F.concat(F.lit("https://host/path?sig="), m), F.concat(F.lit("use ghp_"), m),
+        F.concat(F.lit("use dapi"), m), F.concat(F.lit("eyJ"), m, F.lit("."), m, F.lit("."), m),
+        F.lit("-----BEGIN RSA PRIVATE KEY-----"), F.concat(F.lit('password = "'), m, F.lit('"')),
+        F.concat(F.lit('Authorization: "Bearer '), m, F.lit('"')), guid,
+        F.concat(F.lit("https://app.snowflake.com/"), m, F.lit("/"), part(1, 8), F.lit("/")),
+        F.concat(m, F.lit(".snowflakecomputing.com")), F.concat(F.lit("use ghp_"), part(1, 8))]
+    chosen = F.array(*secrets)[(F.col("c_custkey") % 12).cast("int")]
+    return fixtures.table(spark, folder, "customer").select(
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("label"),
+        F.concat_ws("\n", F.concat(F.lit("customer "), F.col("c_name")), chosen).alias("text"))
+
+
+@registered
+def secret_scan_planted(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_text(_planted(spark, folder), "label", "text")
+
+
+@registered
+def rule_table_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """A thousand rules for mail hosts and the library's, as rows, over documents and the
+    planted texts."""
+    host = F.col("id").cast("string")
+    hosts = spark.range(1000).select(
+        F.concat(F.lit("mail-host-"), host).alias("rule"),
+        F.concat(F.lit(r"[a-z.]+[0-9]{2}@mail"), host, F.lit(r"\.example\.com")).alias("pattern"),
+        F.array(F.concat(F.lit("@mail"), host, F.lit(".example.com"))).alias("words"))
+    documents = fixtures.table(spark, folder, "documents").select(
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("label"), "text")
+    return scan_with_rules(documents.unionByName(_planted(spark, folder)), "label", "text",
+                           hosts.unionByName(library_rules(spark)))

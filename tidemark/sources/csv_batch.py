@@ -8,8 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.contracts import SOURCE_COLUMNS
+from tidemark.contracts import BY_SOURCE, SOURCE_COLUMNS
 from tidemark.session import concurrently
+from tidemark.sources.keyed import KeyedLayer, Staged
 
 # Fixed value: the only manifest classification that may be loaded.
 CLASSIFICATION = "SYNTHETIC_TEST_DATA"
@@ -71,6 +72,30 @@ def load_batch(spark: SparkSession, batch_folder: str,
     return tables
 
 
+def merge_batch(layer: KeyedLayer, batch_folder: str, multi_line: bool = True,
+                workers: int = 4) -> dict[str, DataFrame]:
+    """Merge a batch into the layer's tables by their keys; returns the tables as merged.
+
+    The whole batch is checked before any row is written, every table's rows are
+    written before any table changes, and all tables change in one switch.  If a
+    table fails, what was written is deleted and no table has changed.
+    """
+    tables = load_batch(layer.spark, batch_folder, multi_line)
+    staged: list[Staged] = []
+
+    def stage(name: str, rows: DataFrame) -> None:
+        staged.append(layer.stage(name, rows, [BY_SOURCE[name].source_key]))
+
+    try:
+        concurrently({name: lambda name=name, rows=rows: stage(name, rows)
+                      for name, rows in tables.items()}, workers)
+    except Exception:
+        layer.discard(staged)
+        raise
+    layer.commit(staged)
+    return {name: layer.read(name) for name in tables}
+
+
 def manifest_counts(spark: SparkSession, manifest: Mapping) -> DataFrame:
     rows = [(k, v) for k, v in (manifest.get("counts") or {}).items() if v is not None]
     return spark.createDataFrame(rows, "object string, expected bigint")

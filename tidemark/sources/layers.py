@@ -8,6 +8,7 @@ leaves nothing half done.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from pyspark.sql import types as T
 from tidemark.operators.quality import FLAG
 from tidemark.operators.upsert import upsert
 from tidemark.session import file_system
+from tidemark.sources.keyed import KeyedLayer
 
 
 @dataclass(frozen=True)
@@ -47,12 +49,23 @@ class LayerStore:
     def name(self, layer: str, table: str) -> str:
         return f"`{self.namespace}_{layer}`.`{table}`"
 
+    def keyed(self, layer: str) -> KeyedLayer:
+        """The layer's merged tables, which have no catalog entry."""
+        return KeyedLayer(self.spark, f"{self.root}/{layer}/_keyed", self.fmt, buckets=16)
+
     def read(self, layer: str, table: str) -> DataFrame:
+        if not self.cataloged(layer, table):
+            keyed = self.keyed(layer).state().tables.get(table)
+            if keyed:
+                return self.keyed(layer).read(table)
         return self.spark.table(self.name(layer, table))
 
-    def exists(self, layer: str, table: str) -> bool:
+    def cataloged(self, layer: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(layer, table))
 
+    def exists(self, layer: str, table: str) -> bool:
+        return self.cataloged(layer, table) or self.keyed(layer).exists(table)
+
     def count(self, layer: str, table: str) -> int:
         """Row count from the written files, so retried tasks cannot inflate it."""
         return self.read(layer, table).count()
@@ -98,11 +111,15 @@ class LayerStore:
         return self.read(layer, table)
 
     def stage_flagged(self, df: DataFrame, layer: str, table: str,
-                      buckets: Buckets | None = None, sort_by: str | None = None) -> str:
+                      buckets: Buckets | None = None, sort_by: str | None = None,
+                      by_range: bool = False) -> str:
         """Write valid and quarantined rows in one pass, told apart by folder.
 
         Files are sorted by ``sort_by`` within each task (no shuffle), so that a
         date range later skips most pages of every file by their statistics.
+        ``by_range`` deals the rows to tasks by ranges of ``sort_by`` first, so that a
+        date range later has rows in few files and all others are left after their
+        footers; it costs a shuffle and a sample.
         Bucketed rows should already be partitioned by the bucket column into as
         many partitions as there are buckets, so that a task writes whole
         buckets and not a piece of each.
@@ -111,6 +128,8 @@ class LayerStore:
         location = f"{self.root}/{layer}/{table}/{version}"
         if not buckets:
             order = [FLAG, sort_by] if sort_by else [FLAG]
+            if by_range and sort_by:
+                df = df.repartitionByRange(F.col(sort_by))
             df.sortWithinPartitions(*order).write.format(self.fmt).partitionBy(FLAG).save(location)
             return location
         # Spark writes buckets for catalog tables only; the entry goes, the files stay.
@@ -129,11 +148,47 @@ class LayerStore:
         return f"{location}/{FLAG}={str(valid).lower()}"
 
     def merge(self, changes: DataFrame, layer: str, table: str,
-              keys: Sequence[str], check: bool = True) -> DataFrame:
-        """Create the table from the changes, or upsert them by key."""
-        if self.exists(layer, table):
-            changes = upsert(self.read(layer, table), changes, keys, check)
-        return self.replace(changes, layer, table)
+              keys: Sequence[str], check: bool = True, fold_after: int = 16) -> DataFrame:
+        """Create the table from the changes, or upsert them by key.
+
+        The changes are written and nothing else; after ``fold_after`` of them the
+        buckets they touch are rewritten.  A table made by ``replace`` is replaced.
+        """
+        if self.cataloged(layer, table):
+            return self.replace(upsert(self.read(layer, table), changes, keys, check), layer, table)
+        keyed = self.keyed(layer)
+        merged = keyed.upsert(table, changes, keys, check)
+        if len(keyed.state().tables[table].changes) > fold_after:
+            keyed.fold(table)
+            merged = keyed.read(table)
+        return merged
+
+    def append(self, rows: DataFrame, layer: str, table: str) -> None:
+        """Add rows as files of their own.  No writer touches another's folder, so any
+        number of them may append at once."""
+        rows.write.format(self.fmt).save(f"{self.root}/{layer}/{table}/{time.time_ns():020d}-{uuid.uuid4().hex}")
+
+    def appended(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
+        """All appended rows; none if nothing was appended yet."""
+        files, folder = file_system(self.spark, f"{self.root}/{layer}/{table}")
+        if not files.exists(folder):
+            return self.spark.createDataFrame([], schema)
+        return (self.spark.read.schema(schema).format(self.fmt).option("recursiveFileLookup", True)
+                .load(f"{self.root}/{layer}/{table}"))
+
+    def compact(self, layer: str, table: str, schema: T.StructType) -> int:
+        """Put the appended folders there are into one; returns how many there were.  Until
+        the old ones are gone a reader may see rows twice, which a reader of the latest row
+        per key does not notice; rows appended meanwhile stay where they are."""
+        files, folder = file_system(self.spark, f"{self.root}/{layer}/{table}")
+        old = [s.getPath() for s in files.listStatus(folder)] if files.exists(folder) else []
+        if len(old) < 2:
+            return len(old)
+        rows = self.spark.read.schema(schema).format(self.fmt).load([p.toString() for p in old])
+        self.append(rows.coalesce(1), layer, table)
+        for path in old:
+            files.delete(path, True)
+        return len(old)
 
     def remove_superseded(self, layer: str, table: str, keep: int = 1) -> int:
         """Delete written locations the table no longer points at.

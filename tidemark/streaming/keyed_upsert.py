@@ -4,11 +4,13 @@ Arriving files are streamed into a change log by Spark's own file sink, whose
 write cost follows the arriving rows and not the table; a file is taken exactly
 once per checkpoint.  The table is the latest row per key over the log, and
 ``fold`` brings a stored base up to date with the loads it has not seen.
-Replaying a load is harmless: the same rows win again.
+Replaying a load is harmless: the same rows win again.  ``start_keyed_merge`` keeps no
+log: it merges each micro-batch into a keyed table as a change set.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +21,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidemark.operators.conform import latest
 from tidemark.operators.upsert import upsert_newest
 from tidemark.session import materialise
+from tidemark.sources.keyed import KeyedLayer
 from tidemark.sources.layers import LayerStore
 
 LOAD = "load"
@@ -38,6 +41,30 @@ def start_change_stream(spark: SparkSession, landing: str, schema: T.StructType,
             .trigger(availableNow=True).start())
 
 
+def start_keyed_merge(spark: SparkSession, landing: str, schema: T.StructType, layer: KeyedLayer, table: str,
+                      keys: Sequence[str], newest_first: Sequence[str], checkpoint: str,
+                      files_per_trigger: int | None = None) -> StreamingQuery:
+    """Stream ``landing/load=<n>/*.parquet`` into a keyed table and stop when done.
+
+    Each micro-batch is reduced to its newest row per key, compared with the table's
+    rows of these keys and added as a change set: files taken before are not read
+    again, and the table is not rewritten.  The query's id and the batch's number go
+    into the table's version with the rows, so a batch that Spark repeats after a
+    failure changes nothing.  A row that arrives late never replaces a newer one.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        metadata = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
+        layer.upsert_newest(table, batch.drop(LOAD) if LOAD not in newest_first else batch, keys, newest_first,
+                            stream=(json.loads(metadata)["id"], number))
+
+    reader = spark.readStream.schema(with_load(schema))
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return (reader.parquet(landing).writeStream.foreachBatch(merge)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def with_load(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(LOAD, T.IntegerType())])
 
