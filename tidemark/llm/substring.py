@@ -13,7 +13,8 @@ passage that thousands share costs a row each.
 Probes carry no document, only 32 bits of hash within a bucket, each once per task:
 false anchors cost work, never words.  Blocks of hashes are packed by task and
 bucket; the number of buckets follows the length of all texts, so a bucket's size
-does not.  Texts travel once, by document.
+does not.  Texts travel by document, only those with anchors to be extended and only
+those with repeats to be cut; a bitmap of fixed size tells most others in the scan.
 
 Words are those between ASCII white space, unchanged.  Null text has no words.  A
 document without an id neither removes nor loses any.  Rows with the same id are
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Scratch
+from tidemark.llm.common import Scratch, likely_members
 from tidemark.llm.shingles import mixed, window_hashes, word_hashes
 
 BUCKET_BYTES = 6_000_000
@@ -182,11 +183,13 @@ def dedup_passages(docs: DataFrame, window: int = 13, id_column: str = "doc_id",
         _index(named.select("doc_id", "text"), block, buckets).groupBy("bucket")
         .applyInArrow(_anchors, "doc_id long, anchor long"), "anchors")
     by_doc = anchors.groupBy(F.col("doc_id").alias("anchored")).agg(F.collect_set("anchor").alias("anchors"))
-    anchored = named.join(by_doc, F.col("doc_id") == F.col("anchored")).where("text is not null")
-    repeats = (
+    probable = likely_members(named, "doc_id", anchors.select("doc_id").distinct()).where("likely")
+    anchored = probable.join(by_doc, F.col("doc_id") == F.col("anchored")).where("text is not null")
+    repeats = scratch.write(
         _extended(anchored.select("doc_id", "version", "text", "anchors"), window, block, buckets).groupBy("bucket")
         .applyInArrow(_repeats, "doc_id long, version long, place int")
-        .groupBy(F.col("doc_id").alias("repeating"), F.col("version").alias("repeating_version")).agg(F.collect_list("place").alias("places")))
+        .groupBy(F.col("doc_id").alias("repeating"), F.col("version").alias("repeating_version")).agg(F.collect_list("place").alias("places")), "repeats")
+    scratch.drop(anchors)
     fields = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,8 +214,10 @@ def dedup_passages(docs: DataFrame, window: int = 13, id_column: str = "doc_id",
                  pa.array(texts, pa.string()), *(batch.column(f"kept_{c}") for c in keep)],
                 ["doc_id", "n_words", "n_removed", "kept_text", *keep])
 
-    joined = (named.join(repeats, (F.col("doc_id") == F.col("repeating")) & (F.col("version") == F.col("repeating_version")), "left")
-              .drop("repeating", "repeating_version")
-              .unionByName(source.where("doc_id is null").withColumn("places", F.lit(None).cast("array<int>"))))
+    marked = likely_members(source, "doc_id", repeats.select("repeating"))
+    repeating = marked.where("likely").join(
+        repeats, (F.col("doc_id") == F.col("repeating")) & (F.col("version") == F.col("repeating_version")), "left")
+    joined = (repeating.drop("likely", "repeating", "repeating_version")
+              .unionByName(marked.where("not likely").drop("likely").withColumn("places", F.lit(None).cast("array<int>"))))
     return joined.mapInArrow(
         run, f"doc_id long, n_words long, n_removed long, kept_text string{fields}")
