@@ -40,7 +40,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get(SHARED_FOLDER_SETTING, None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {SHARED_FOLDER_SETTING} to a folder all executors can reach")
     own = tempfile.mkdtemp(prefix="tidemark-")
     spark.conf.set(SHARED_FOLDER_SETTING, own)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.contracts import BY_SOURCE, SOURCE_COLUMNS
@@ -105,13 +105,15 @@ def write_batch(tables: Mapping[str, DataFrame], batch_folder: str, batch: str,
                 classification: str = CLASSIFICATION) -> None:
     """Write tables as a CSV batch; the manifest comes last and closes it.
 
-    Rows are counted in the tables handed in, so the manifest is a check on the
-    files and not a description of them.
+    Rows are counted as they are handed to the writer, in the same pass, so the
+    manifest is a check on the files and not a description of them.
     """
     def write(table: str, df: DataFrame) -> int:
         text = df.select(*[F.col(c).cast("string").alias(c) for c in SOURCE_COLUMNS[table]])
-        text.write.option("header", True).option("escape", '"').csv(f"{batch_folder}/{table}.csv")
-        return df.count()
+        handed = Observation()
+        (text.observe(handed, F.count(F.lit(1)).alias("rows"))
+         .write.option("header", True).option("escape", '"').csv(f"{batch_folder}/{table}.csv"))
+        return handed.get["rows"]
 
     counts = concurrently({table: lambda table=table, df=df: write(table, df)
                            for table, df in tables.items()})
