@@ -269,8 +269,8 @@ def test_a_date_range_skips_most_of_the_sorted_files(spark, store):
 
 
 def test_ranges_of_time_are_in_few_files(spark, store):
-    before = {c: spark.conf.get(c, None) for c in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    before = {c: spark.conf.get(c, None) for c in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     spark.conf.set("spark.sql.shuffle.partitions", "40")
     try:
         rows = spark.range(200_000).select(
@@ -286,7 +286,7 @@ def test_ranges_of_time_are_in_few_files(spark, store):
         for c, value in before.items():
             spark.conf.set(c, value) if value else spark.conf.unset(c)
     assert held[False][2] == held[True][2] and held[False][0] == held[False][1] == 30
-    assert held[True][0] <= held[True][1] / 2
+    assert held[True][1] == 40 and held[True][0] <= 6
 
 
 def test_chosen_keys_are_joined_before_copies_are_compared(spark, small_broadcasts_off):
