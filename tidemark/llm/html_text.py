@@ -2,8 +2,9 @@
 
 A page becomes blocks: the text between tags that break lines.  The first pass
 decides what it can: blocks in elements that name themselves boilerplate (by tag, role,
-class or id; a class or id does not count on an element that holds the main text) and
-blocks that are mostly links are out; long blocks, and shorter ones with stop words, are
+class or id; a class or id does not count on an element that holds the main text, and
+within a line only if the whole of it is such a name) and blocks that are mostly links are
+out; long blocks, and shorter ones with stop words, are
 in.  Where articles outside boilerplate hold most of the text, blocks outside them are
 out too; otherwise (teasers or comments that are articles) all blocks are judged alike.
 The second pass gives every undecided block the label of the nearest decided
@@ -11,7 +12,8 @@ block of its own region (inside or outside the article), the preceding one if tw
 are as near; where a region has none, articles are in, and so is a page without an
 article.
 
-A projection: no shuffle, whole pages, one page in memory beyond its batch.  Null or
+A projection: no shuffle, whole pages, one page in memory beyond its batch, in time linear
+in its length.  Null or
 empty html gives an empty text.  Broken markup (elements left open, stray end tags,
 a page that ends within a tag) is read as far as it goes; only script, style, title and
 textarea, whose content is no markup, run to the end of the page if left open.  Repeated rows are read
@@ -21,6 +23,8 @@ one by one; columns not named are dropped, whatever their names.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -28,12 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RAW = r"<!--.*?(?:-->|$)|<(script|style|title|textarea)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|$)"
-TOKEN = re.compile(
-    RAW + r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*>?", re.S | re.I)
-DROPPED = re.compile(
-    RAW + r"|<(/?)(noscript|template|svg|math|iframe|object|select|button|canvas|audio|video)(?=[\s/>])"
-    r"((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S | re.I)
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in ("script", "style", "title", "textarea")}
+NAME = re.compile(r"<(/?)([a-z][a-z0-9:-]*+)", re.I)
+SPECIAL = re.compile("[>\"']")
+DROPPED = frozenset("noscript template svg math iframe object select button canvas audio video".split())
 NESTING = frozenset("template svg math object".split())
 ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?",
                        re.I)
@@ -74,21 +76,79 @@ def _named_bad(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def _name_is_bad(tag: str, attributes: str) -> bool:
-    """Whether a class or the id is a boilerplate name, or begins or ends with one and
-    does not say that the element has, or has not, such a part."""
+def _name_is_bad(tag: str, attributes: str, whole: bool = False) -> bool:
+    """Whether a class or the id is a boilerplate name, or, unless ``whole``, begins or
+    ends with one and does not say that the element has, or has not, such a part."""
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
     for name, *values in ATTRIBUTE.findall(attributes):
         if name.lower() not in ("class", "id"):
             continue
         for one in next(filter(None, values), "").lower().split():
+            if whole and one in BAD_NAMES:
+                return True
             words = [w for w in SPLIT_NAMES.split(one) if w]
-            if words and PARTS.isdisjoint(words) and not BAD_NAMES.isdisjoint((one, words[0], words[-1])):
+            if not whole and words and PARTS.isdisjoint(words) and not BAD_NAMES.isdisjoint((one, words[0], words[-1])):
                 return True
     return False
 
 
+class Tags:
+    """The tags of a page in order, found in time linear in the page.  Where a tag ends is
+    the first > outside its quotes; for all places at once that is worked out from the
+    page's end, so what never closes is not searched again for every <."""
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self._marks = [m.start() for m in SPECIAL.finditer(html)]
+        ends = [-1] * (len(self._marks) + 1)
+        following: dict[str, int] = {}
+        for i in range(len(self._marks) - 1, -1, -1):
+            sign = html[self._marks[i]]
+            if sign == ">":
+                ends[i] = self._marks[i]
+            else:
+                closing = following.get(sign)
+                ends[i] = ends[closing + 1] if closing is not None else -1
+                following[sign] = i
+        self._ends = ends
+
+    def end(self, at: int) -> int:
+        """Place of the > that closes a tag open at ``at``, or -1."""
+        return self._ends[bisect_left(self._marks, at)]
+
+    def __iter__(self) -> Iterator[tuple[int, int, bool, str | None, str]]:
+        """(start, end, closing, name, attributes); no name for what is no element, and for
+        elements whose content is no markup, which end with their end tag."""
+        html, at = self.html, 0
+        last = html.rfind(">")
+        while (start := html.find("<", at)) >= 0:
+            at = start + 1
+            if html.startswith("<!--", start):
+                close = html.find("-->", start + 4)
+                at = close + 3 if close >= 0 else len(html)
+                yield start, at, False, None, ""
+                continue
+            tag = NAME.match(html, start) if start < last else None
+            if tag:
+                name, closing = tag[2].lower(), bool(tag[1])
+                raw = RAW_END.get(name) if not closing else None
+                if raw and html[tag.end()] in " \t\n\r\f\v/>":
+                    close = raw.search(html, html.find(">", tag.end()) + 1)
+                    at = close.end() if close else len(html)
+                    yield start, at, False, None, ""
+                    continue
+                close = self.end(tag.end())
+                if close >= 0:
+                    at = close + 1
+                    yield start, at, closing, name, html[tag.end():close]
+                    continue
+            if html[start + 1:start + 2] in ("!", "?", "/"):
+                close = html.find(">", start) if start < last else -1
+                at = close + 1 if close >= 0 else len(html)
+                yield start, at, False, None, ""
+
+
 class Mark:
     """An element that only its name marks as boilerplate, and what it holds."""
 
@@ -108,22 +168,21 @@ class Block:
         self.region, self.article, self.mark = region, article, mark
 
 
-def dropped(html: str) -> dict[int, int]:
+def dropped(tags: list[tuple[int, int, bool, str | None, str]]) -> dict[int, int]:
     """Start and end of the elements that hold no text of the page.  One that closes
     itself ends with its tag, and so does one that is left open."""
     ends: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
-    for token in DROPPED.finditer(html):
-        if token[3] is None:
+    for start, end, closing, tag, attributes in tags:
+        if tag not in DROPPED:
             continue
-        tag = token[3].lower()
         starts = opened.setdefault(tag, [])
-        if not token[2]:
-            ends[token.start()] = token.end()
-            if not token[4].endswith("/"):
-                starts.append(token.start())
+        if not closing:
+            ends[start] = end
+            if not attributes.endswith("/"):
+                starts.append(start)
         elif starts:
-            ends[starts.pop()] = token.end()
+            ends[starts.pop()] = end
             if tag not in NESTING:
                 starts.clear()
     return ends
@@ -136,56 +195,78 @@ def blocks(html: str) -> list[Block]:
     stack: list[tuple[str, bool, bool, bool, int]] = []  # tag, bad, in <article> or <main>, in <article>, innermost mark
     marks: list[Mark] = []
     held: list[tuple[str, bool]] = []
-    bad = region = article = False
-    links, mark = 0, -1
+    depth: Counter[str] = Counter()  # of the tags on the stack
+    hidden: list[list] = []  # inline elements that name themselves boilerplate: tag, how often it is open
+    bad = region = article = bad_paragraph = False
+    links, mark, paragraph = 0, -1, -1
 
     def end_block() -> None:
         text = " ".join(unescape("".join(t for t, _ in held)).split())
         if text:
             linked = sum(len(" ".join(unescape(t).split())) for t, in_link in held if in_link)
-            out.append(Block(text, linked, bad, region, article, mark))
+            out.append(Block(text, linked, bad or bad_paragraph, region, article, max(mark, paragraph)))
         held.clear()
 
+    def marked(around: int) -> int:
+        marks.append(Mark(around, article))
+        return len(marks) - 1
+
+    tags = list(Tags(html))
+    ends = dropped(tags)
     at = 0
-    ends = dropped(html)
-    while token := TOKEN.search(html, at):
-        if token.start() > at:
-            held.append((html[at:token.start()], links > 0))
-        at = ends.get(token.start(), token.end())
-        tag = token[3]
-        if tag is None or token.start() in ends:
+    for start, end, closing, tag, attributes in tags:
+        if start < at:
             continue
-        tag, closing = tag.lower(), bool(token[2])
-        if tag == "a":
-            links = max(0, links - 1) if closing else 1
-        elif tag == "br":
-            held.append((" ", links > 0))
-        elif tag not in INLINE:
-            end_block()
-            links = 0
-            # Between the tags of a head only raw elements hold text, so where it ends does not matter.
-            if tag in VOID or tag in ("p", "head"):
-                continue
-            if not closing:
-                if not token[4].endswith("/"):
-                    stack.append((tag, bad, region, article, mark))
-                bad = bad or _named_bad(tag, token[4], region)
-                if not bad and _name_is_bad(tag, token[4]):
-                    marks.append(Mark(mark, article))
-                    mark = len(marks) - 1
-                if tag in ("article", "main"):
-                    if mark >= 0 and not bad:
-                        marks[mark].main |= tag == "main"
-                        marks[mark].articles += tag == "article" and not article
-                    region, article = True, article or tag == "article"
-            else:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        _, bad, region, article, mark = stack[i]
-                        del stack[i:]
-                        break
+        if start > at and not hidden:
+            held.append((html[at:start], links > 0))
+        at = ends.get(start, end)
+        if tag is None or start in ends:
+            continue
+        if tag in INLINE:
+            if hidden and hidden[-1][0] == tag:
+                hidden[-1][1] += -1 if closing else 1
+                if not hidden[-1][1]:
+                    hidden.pop()
+            elif not closing and tag not in VOID and attributes and not attributes.endswith("/") and (
+                    _named_bad(tag, attributes, region) or _name_is_bad(tag, attributes, True)):
+                hidden.append([tag, 1])
+            if tag == "a":
+                links = max(0, links - 1) if closing else 1
+            elif tag == "br":
+                held.append((" ", links > 0))
+            continue
+        end_block()
+        links, paragraph, bad_paragraph = 0, -1, False
+        hidden.clear()
+        # Between the tags of a head only raw elements hold text, so where it ends does not matter.
+        if tag in VOID or tag == "head":
+            continue
+        if tag == "p":
+            # Ends with the next tag that breaks lines, so it needs no place on the stack.
+            if not closing and attributes:
+                bad_paragraph = _named_bad(tag, attributes, region)
+                if not bad and not bad_paragraph and _name_is_bad(tag, attributes):
+                    paragraph = marked(mark)
+            continue
+        if not closing:
+            if not attributes.endswith("/"):
+                stack.append((tag, bad, region, article, mark))
+                depth[tag] += 1
+            bad = bad or _named_bad(tag, attributes, region)
+            if not bad and _name_is_bad(tag, attributes):
+                mark = marked(mark)
+            if tag in ("article", "main"):
+                if mark >= 0 and not bad:
+                    marks[mark].main |= tag == "main"
+                    marks[mark].articles += tag == "article" and not article
+                region, article = True, article or tag == "article"
+        while closing and depth[tag]:
+            one, bad, region, article, mark = stack.pop()
+            depth[one] -= 1
+            if one == tag:
+                break
     rest = html[at:]
-    if rest and not re.match(r"<[a-z/!?][^>]*$", rest, re.I):
+    if rest and not hidden and not re.match(r"<[a-z/!?][^>]*$", rest, re.I):
         held.append((rest, links > 0))
     end_block()
     settle(out, marks)
