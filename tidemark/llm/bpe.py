@@ -39,7 +39,8 @@ WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                 r"|\s+(?!\S)|\s+")
 
 NEVER = np.iinfo(np.int32).max
-REMEMBERED = 400_000
+# What an encoder remembers at most: chunks, their characters in all, and of one.
+REMEMBERED, REMEMBERED_CHARACTERS, REMEMBERED_LENGTH = 400_000, 6_000_000, 64
 ENDED = 256
 MATRIX_WIDTHS = (8, 16, 32, 64)
 # No word spans a blank between two characters that are no white space, so texts
@@ -337,8 +338,9 @@ class Places(dict):
 
 
 class Encoder:
-    """Texts to ids.  Remembers up to ``REMEMBERED`` chunks, the first it sees, which
-    have the frequent ones among them; others are encoded again where they recur."""
+    """Texts to ids.  Remembers short chunks, the first it sees, which have the frequent
+    ones among them, up to a number and a size in all; others are encoded again where
+    they recur."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
@@ -352,6 +354,7 @@ class Encoder:
         self._pool, self._used = np.array([*special.values(), 0], np.int32), len(special)
         self._starts = np.arange(len(special))
         self._counts = np.ones(len(special), np.int64)
+        self._characters = 0
 
     def _chunks(self, text: str) -> list[str]:
         if self._special and len(parts := self._special.split(text)) > 1:
@@ -420,12 +423,32 @@ class Encoder:
         counts = self._counts[rows]
         ids = self._pool[spread(self._starts[rows], counts)]
         ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, chunked)])]
-        if len(self._place) > REMEMBERED:
-            for chunk in new:
-                del self._place[chunk]
-            self._starts, self._counts, self._used = self._starts[:before], self._counts[:before], used
+        self._forget(new, before, used)
         return ids, np.diff(ends).tolist()
 
+    def _forget(self, new: list[str], before: int, used: int) -> None:
+        """Keep of the chunks just learnt those that are not long, if all of them fit."""
+        short = [i for i, chunk in enumerate(new) if len(chunk) <= REMEMBERED_LENGTH]
+        size = self._characters + sum(len(new[i]) for i in short)
+        if before + len(short) > REMEMBERED or size > REMEMBERED_CHARACTERS:
+            short, size = [], self._characters
+        self._characters = size
+        if len(short) == len(new):
+            return
+        for chunk in new:
+            del self._place[chunk]
+        rows = before + np.array(short, np.int64)
+        counts = self._counts[rows]
+        ids = self._pool[spread(self._starts[rows], counts)]
+        self._used = used + len(ids)
+        self._pool[used:self._used] = ids
+        if len(self._pool) > 4 * max(self._used, 1 << 16):
+            self._pool = self._pool[:2 * max(self._used, 1 << 16)].copy()
+        self._starts = np.concatenate([self._starts[:before], used + np.cumsum(counts) - counts])
+        self._counts = np.concatenate([self._counts[:before], counts])
+        for i in short:
+            self._place[new[i]]
+
 
 _loaded: dict[str, Vocabulary] = {}
 
