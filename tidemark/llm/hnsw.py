@@ -11,9 +11,11 @@ layer and searches the lowest with a beam; the shards' results are merged.
 Queries are a stated small set (by default ids divisible by 50) and meet each shard
 in blocks.  Shards hold a bounded number of points, so a task's memory is bounded.
 
-Vectors that are null, zero, of another length than the first, or hold null or
-non-finite components take no part.  Ties go to the smaller id.  Rows with the same id and vector count
-once; of one id with several vectors each counts.  Other columns are dropped.
+Vectors that are null or zero, or hold null or non-finite components take no part; vectors
+of different lengths are searched apart, a pass for each length.  The score is the cosine of
+the vectors as given, in double precision; ties go to the smaller id.  Rows with the same id
+and vector count once; of one id with several vectors each counts.  An empty table gives no
+rows.  Other columns are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -51,6 +53,19 @@ def matrix(column: pd.Series) -> np.ndarray:
     return raw / np.sqrt(np.einsum("ij,ij->i", raw, raw))[:, None]
 
 
+def scaled(column: pd.Series) -> np.ndarray:
+    """Vectors times powers of two that bring their largest components near one: cosines
+    stay the same to the last bit, and squares neither overflow nor vanish."""
+    raw = np.stack(column.to_numpy()).astype(np.float64)
+    return np.ldexp(raw, -np.frexp(np.abs(raw).max(1))[1][:, None])
+
+
+def cosines(raw: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """One formula for each pair alone: equal vectors give equal scores."""
+    norms = np.sqrt(np.einsum("ij,ij->i", raw, raw)) * np.sqrt(np.einsum("i,i->", query, query))
+    return np.clip(np.einsum("ij,j->i", raw, query) / norms, -1.0, 1.0)
+
+
 class Layer:
     """Points of one layer, and a row of neighbours of each; -1 fills the row."""
 
@@ -152,19 +167,23 @@ def _beam(vectors: np.ndarray, layer: Layer, query: np.ndarray, entry: np.ndarra
     return np.array([p for _, p in found], np.int64), np.array([n for n, _ in found])
 
 
+def _unit(raw: np.ndarray) -> np.ndarray:
+    return raw / np.sqrt(np.einsum("ij,ij->i", raw, raw))[:, None]
+
+
 def _graph_row(group: pd.DataFrame, links: int, most: int) -> pd.DataFrame:
     """A shard's points and graph as one row of flat arrays."""
     # Points enter the graph in an order that is the same in every run and has
     # nothing to do with their ids.
     group = group.sort_values(["point", "first_id"])
     order = np.random.default_rng(0).permutation(len(group))
-    unit = matrix(group["vector"].iloc[order])
+    raw = scaled(group["vector"].iloc[order])
     ids = np.full((len(group), most), -1, np.int64)
     for row, own in enumerate(group["ids"].iloc[order]):
         ids[row, :len(own)] = own
-    layers = build(unit, links)
+    layers = build(_unit(raw), links)
     return pd.DataFrame([{
-        "shard": group["shard"].iloc[0], "size": len(group), "vectors": unit.tobytes(), "ids": ids.tobytes(),
+        "shard": group["shard"].iloc[0], "size": len(group), "vectors": raw.tobytes(), "ids": ids.tobytes(),
         "sizes": [len(x.points) for x in layers], "points": np.concatenate([x.points for x in layers]).tobytes(),
         "neighbours": np.concatenate([x.neighbours.ravel() for x in layers]).tobytes()}])
 
@@ -173,7 +192,8 @@ def _answers(graph: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int) -> p
     if graph.empty or queries.empty:
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
     row = graph.iloc[0]
-    unit = np.frombuffer(row["vectors"]).reshape(row["size"], -1)
+    raw = np.frombuffer(row["vectors"]).reshape(row["size"], -1)
+    unit = _unit(raw)
     ids = np.frombuffer(row["ids"], np.int64).reshape(row["size"], -1)
     points, flat = np.frombuffer(row["points"], np.int64), np.frombuffer(row["neighbours"], np.int32)
     width = len(flat) // max(1, len(points) + row["size"])  # the lowest layer's rows are twice as wide
@@ -185,11 +205,13 @@ def _answers(graph: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int) -> p
         layers.append(layer)
         point_at, flat_at = point_at + size, flat_at + size * own_width
     out = []
-    for own, query in zip(queries["vec_id"].tolist(), matrix(queries["vector"]), strict=True):
+    asked = scaled(queries["vector"])
+    for own, query, given in zip(queries["vec_id"].tolist(), _unit(asked), asked, strict=True):
         found, _ = search(unit, layers, query, beam)
-        # One formula for each pair alone: equal vectors give equal scores.
-        scores = np.einsum("ij,j->i", unit[found], query)
-        best = np.argsort(-scores, kind="stable")[:4 * k]
+        scores = cosines(raw[found], given)
+        # One more than asked for, as the query's own does not count, and all that tie with it.
+        order = np.argsort(-scores, kind="stable")
+        best = order[scores[order] >= scores[order[min(k, len(order) - 1)]]]
         pairs = sorted((-s, i) for p, s in zip(found[best], scores[best].tolist(), strict=True)
                        for i in ids[p].tolist() if i >= 0 and i != own)[:k]
         out += [(own, i, -s) for s, i in pairs]
@@ -206,10 +228,17 @@ def nearest(vectors: DataFrame, k: int = 5, every: int = 50, shard_points: int =
     spark, scratch = vectors.sparkSession, Scratch(vectors.sparkSession)
     rows = scratch.write(usable(vectors, id_column, vector_column).distinct()
                          .withColumn("point", F.xxhash64("vector")), "vectors")
-    size = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    if not size:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("vector") == size[0]["size"])
+    sizes = [r["size"] for r in rows.select(F.size("vector").alias("size")).distinct().orderBy("size").collect()]
+    result = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for size in sizes:
+        found = _nearest(rows.where(F.size("vector") == size), scratch, k, every, shard_points, shards, links, beam)
+        result = found if size == sizes[0] else result.union(found)
+    return result
+
+
+def _nearest(rows: DataFrame, scratch: Scratch, k: int, every: int, shard_points: int, shards: int, links: int,
+             beam: int) -> DataFrame:
+    """The search among vectors of one length."""
     # Of equal vectors the smallest ids are all that can be among the nearest: one
     # more than asked for, as the query's own does not count.
     first = rows.selectExpr("*", f"row_number() over (partition by point, vector order by vec_id) n").where(f"n <= {k + 1}")

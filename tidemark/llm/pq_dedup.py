@@ -17,9 +17,9 @@ component, never the pairs of vectors.  Where cells are not well apart, as with
 evenly spread vectors of many dimensions, most blocks reach each other and the work
 grows with the square of the number of classes.
 
-Vectors that are null, zero, of another length than most, or hold null or non-finite
-components link with nothing; neither do rows without an id, which get a null
-component.  Rows with the same id and vector count once and all get its result.
+Vectors that are null or zero, or hold null or non-finite components link with nothing;
+neither do rows without an id, which get a null component.  Vectors of different lengths
+never link; each length is a pass of its own.  Rows with the same id and vector count once and all get its result.
 Other columns are dropped, whatever their names.
 """
 
@@ -202,14 +202,36 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, list_size: int
     rows = usable(vectors, id_column, vector_column).withColumn("point", F.xxhash64("vector"))
     classes = scratch.write(rows.distinct().groupBy("point", "vector").agg(
         F.min("vec_id").alias("cls"), F.count("*").alias("size")), "classes")
-    total = classes.count()
-    common = classes.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").limit(1).collect()
     every = vectors.select(F.col(id_column).cast("long").alias("vec_id"),
                            F.xxhash64(F.col(vector_column).cast("array<double>")).alias("point"))
-    if not common:
+    lengths = classes.groupBy(F.size("vector").alias("length")).count().orderBy("length").collect()
+    if not lengths:
         return every.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                             F.col("vec_id").isNotNull().alias("kept"))
-    same_length = classes.where(F.size("vector") == common[0]["length"])
+    found = None
+    for length, total in lengths:
+        own = _found(classes.where(F.size("vector") == length), total, scratch, threshold, list_size, most_lists, parts,
+                     codewords, sample_rows)
+        found = own if found is None else found.union(own)
+    roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")), scratch)
+    counts = found.groupBy("cls").agg(F.sum("n").alias("n"))
+    results = (classes.join(counts, "cls", "left").join(roots, F.col("cls") == F.col("node"), "left")
+               .select(F.col("point").alias("class_point"), "vector",
+                       (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
+                       F.coalesce("root", "cls").alias("component_id")))
+    source = vectors.select(F.col(id_column).cast("long").alias("vec_id"),
+                            F.col(vector_column).cast("array<double>").alias("own_vector"))
+    return (
+        source.withColumn("point", F.xxhash64("own_vector"))
+        .join(results, (F.col("point") == F.col("class_point")) & (F.col("own_vector") == F.col("vector")), "left")
+        .select("vec_id", F.when(F.col("vec_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
+                F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
+
+
+def _found(same_length: DataFrame, total: int, scratch: Scratch, threshold: float, list_size: int, most_lists: int,
+           parts: int, codewords: int, sample_rows: int) -> DataFrame:
+    """Links among classes of vectors of one length: rows (cls, n, root)."""
     sample = same_length.orderBy("point", "cls").limit(sample_rows).select("vector").toPandas()
     quantiser = Quantiser(matrix(sample["vector"]), min(most_lists, max(1, math.ceil(total / list_size))), parts, codewords)
     radius = math.sqrt(2 - 2 * threshold)
@@ -226,7 +248,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, list_size: int
     length = quantiser.coarse.shape[1]
     # A row per list, so at most ``most_lists``.
     sizes = dict(map(tuple, coded.groupBy("list").count().collect()))
-    placed = vectors.sparkSession.createDataFrame(
+    placed = same_length.sparkSession.createDataFrame(
         places(sizes, quantiser.order(), max(256, BLOCK_BYTES // (8 * length))), "list int, first int, blocks int")
     packed = scratch.write(
         coded.join(F.broadcast(placed), "list")
@@ -253,18 +275,4 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, list_size: int
     pairs = pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"),
                          F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"))
     met = pairs.join(side("a"), "a").join(side("b"), "b")
-    found = scratch.write(met.mapInArrow(links, "cls long, n long, root long"), "links")
-    roots = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b")), scratch)
-    counts = found.groupBy("cls").agg(F.sum("n").alias("n"))
-    results = (classes.join(counts, "cls", "left").join(roots, F.col("cls") == F.col("node"), "left")
-               .select(F.col("point").alias("class_point"), "vector",
-                       (F.col("size") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"),
-                       F.coalesce("root", "cls").alias("component_id")))
-    source = vectors.select(F.col(id_column).cast("long").alias("vec_id"),
-                            F.col(vector_column).cast("array<double>").alias("own_vector"))
-    return (
-        source.withColumn("point", F.xxhash64("own_vector"))
-        .join(results, (F.col("point") == F.col("class_point")) & (F.col("own_vector") == F.col("vector")), "left")
-        .select("vec_id", F.when(F.col("vec_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"),
-                F.when(F.col("vec_id").isNotNull(), F.coalesce("component_id", "vec_id")).alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False))))
+    return scratch.write(met.mapInArrow(links, "cls long, n long, root long"), "links")
