@@ -1,12 +1,13 @@
 """Nearest neighbours by cosine over navigable small-world graphs, one per shard.
 
 Equal vectors are one point of a graph, so a vector that a third of all rows share
-cannot fill it.  Points are dealt to shards by a hash; a shard's graph is built in
-rounds that double its size: each new point looks for its neighbours among all
-points before it and in its own round and links to a diverse choice of them, old
-points take new links and are thinned by the same rule.  Every layer holds a fixed
-share of the one below; neighbours are flat arrays.  A query descends from the top
-layer and searches the lowest with a beam; the shards' results are merged.
+cannot fill it.  Points are dealt to shards by a hash; a shard's graph is built from the
+top layer down by inserting points, a batch at a time: each searches the graph of those
+before it with a beam, looks at the others of its batch and links to a diverse choice of
+what it has met; points that get more links than fit are thinned by the same rule.  Every
+layer holds a fixed share of the one below; neighbours are flat arrays.  A query descends
+from the top layer and searches the lowest with a beam; many queries or new points take
+each step together.  The shards' results are merged.
 
 Queries are a stated small set (by default ids divisible by 50) and meet each shard
 in blocks.  Shards hold a bounded number of points, so a task's memory is bounded.
@@ -21,8 +22,6 @@ rows.  Other columns are dropped, whatever their names.
 from __future__ import annotations
 
 from functools import partial
-from heapq import heappop, heappush
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,6 +32,7 @@ from tidemark.llm.common import Scratch
 RESULT = "query_id long, vec_id long, score double"
 GRAPH = ("shard int, size long, vectors binary, ids binary, sizes array<long>, points binary, neighbours binary")
 QUERY_BLOCK = 4096
+BATCH, CHUNK, DESCENT = 1024, 256, 4
 
 
 def usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
@@ -74,97 +74,147 @@ class Layer:
         self.neighbours = np.full((len(points), width), -1, np.int32)
 
 
-def _diverse(unit: np.ndarray, own: int, candidates: np.ndarray, near: np.ndarray, most: int) -> list[int]:
-    """Candidates by falling nearness, each only if nearer to ``own`` than to those
-    chosen; places left over go to the nearest passed over."""
-    order = np.argsort(-near, kind="stable")
-    candidates, near = candidates[order], near[order]
-    among = unit[candidates] @ unit[candidates].T
-    chosen: list[int] = []
-    passed: list[int] = []
-    for i in range(len(candidates)):
-        if len(chosen) == most:
-            break
-        (chosen if not chosen or near[i] >= among[i, chosen].max() else passed).append(i)
-    chosen += passed[:most - len(chosen)]
-    return candidates[chosen].tolist()
+def _diverse(vectors: np.ndarray, own: np.ndarray, candidates: np.ndarray, most: int) -> np.ndarray:
+    """For each point of ``own`` at most ``most`` of its row of candidates (-1 fills a row):
+    by falling nearness, each only if nearer to the point than to those chosen; places left
+    over go to the nearest passed over."""
+    out = np.full((len(own), most), -1, np.int32)
+    for at in range(0, len(own), CHUNK):
+        part, mine = candidates[at:at + CHUNK], own[at:at + CHUNK]
+        around = vectors[np.maximum(part, 0)]
+        near = np.where(part >= 0, np.matmul(around, vectors[mine][:, :, None])[:, :, 0], -np.inf)
+        order = np.argsort(-near, axis=1, kind="stable")
+        part, near = np.take_along_axis(part, order, 1), np.take_along_axis(near, order, 1)
+        around = np.take_along_axis(around, order[:, :, None], 1)
+        among = np.matmul(around, around.transpose(0, 2, 1))
+        chosen, count = np.zeros(part.shape, bool), np.zeros(len(part), np.int64)
+        nearest = np.full(part.shape, -np.inf, among.dtype)  # to any chosen one
+        for i in range(part.shape[1]):
+            fits = (part[:, i] >= 0) & (count < most) & (near[:, i] >= nearest[:, i])
+            chosen[:, i] = fits
+            count += fits
+            np.maximum(nearest, np.where(fits[:, None], among[:, :, i], -np.inf), out=nearest)
+        passed = (part >= 0) & ~chosen
+        chosen |= passed & (np.cumsum(passed, 1) <= (most - count)[:, None])
+        kept = np.argsort(~chosen, axis=1, kind="stable")[:, :most]
+        found = np.where(np.take_along_axis(chosen, kept, 1), np.take_along_axis(part, kept, 1), -1)
+        out[at:at + CHUNK, :found.shape[1]] = found
+    return out
 
 
 def build(unit: np.ndarray, links: int = 16, candidates: int = 48, share: int = 16) -> list[Layer]:
-    """Layers from the lowest to the top; points are numbered as rows of ``unit``."""
-    layers, points = [], np.arange(len(unit))
-    while True:
-        layers.append(_layer(unit, points, 2 * links if not layers else links, links, candidates))
-        if len(points) <= share:
-            return layers
-        points = points[::share]
-
-
-def _layer(unit: np.ndarray, points: np.ndarray, width: int, links: int, candidates: int) -> Layer:
-    layer = Layer(points, width)
-    vectors, lists = unit[points], [[] for _ in points]
-    done, size = 0, 1
-    while done < len(points):
-        end = min(len(points), done + size)
-        for first in range(done, end, 512):
-            last = min(end, first + 512)
-            near = vectors[first:last] @ vectors[:end].T
-            near[np.arange(last - first), np.arange(first, last)] = -np.inf
-            most = min(candidates, end - 1)
-            if not most:
-                continue
-            best = np.argpartition(-near, most - 1, axis=1)[:, :most]
-            for row, found in enumerate(best):
-                own = first + row
-                for other in _diverse(vectors, own, found, near[row, found], links):
-                    lists[own].append(other)
-                    lists[other].append(own)
-        for own in range(end):
-            found = np.unique(lists[own])
-            if len(found) > width:
-                found = np.array(_diverse(vectors, own, found, vectors[found] @ vectors[own], width))
-            lists[own] = found.tolist()
-        done, size = end, end
-    for own, found in enumerate(lists):
-        layer.neighbours[own, :len(found)] = found
+    """Layers from the lowest to the top, built from the top: each layer's points are the
+    first ones of the layer below, in the order of the rows of ``unit``."""
+    vectors = unit.astype(np.float32)
+    sizes = [len(unit)]
+    while sizes[-1] > share:
+        sizes.append(-(-sizes[-1] // share))
+    layers: list[Layer] = []
+    for level in range(len(sizes) - 1, -1, -1):
+        layers.insert(0, _layer(vectors[:sizes[level]], layers, links if level else 2 * links, links, candidates))
+    return layers
+
+
+def _layer(vectors: np.ndarray, above: list[Layer], width: int, links: int, candidates: int) -> Layer:
+    """A layer made by inserting its points a batch at a time: a point searches the graph
+    of those before it, from where the layers above lead it, and the others of its batch;
+    it links to a diverse choice, and whoever gets more links than fit keeps a diverse
+    choice too."""
+    layer = Layer(np.arange(len(vectors)), width)
+    table, done = layer.neighbours, 0
+    while done < len(vectors):
+        end = min(len(vectors), done + min(BATCH, max(64, done)))
+        new = np.arange(done, end)
+        near = vectors[new] @ vectors[new].T
+        np.fill_diagonal(near, -np.inf)
+        most = min(candidates, len(new) - 1)
+        met = [done + np.argpartition(-near, most - 1, axis=1)[:, :most]] if most else []
+        if done:
+            entry = _entries(vectors, above, vectors[new])
+            found, _ = beams(vectors, table, vectors[new], np.where(entry < done, entry, 0), candidates)
+            met.append(found)
+        if met:
+            own = _diverse(vectors, new, np.concatenate(met, axis=1), links)
+            table[new, :links] = own
+            _link_back(vectors, table, new, own)
+        done = end
     return layer
 
 
-def search(unit: np.ndarray, layers: list[Layer], query: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """Points met last and their nearness, nearest first, at most ``beam``."""
-    entry = layers[-1].points[:1]
-    for layer in layers[:0:-1]:
-        entry = layer.points[_beam(unit[layer.points], layer, query, np.searchsorted(layer.points, entry), 1)[0]]
-    return _beam(unit, layers[0], query, entry, beam)
+def _link_back(vectors: np.ndarray, table: np.ndarray, new: np.ndarray, own: np.ndarray) -> None:
+    """Every point that a new one links to links to it, too."""
+    source, target = np.repeat(new, own.shape[1]), own.ravel()
+    source, target = source[target >= 0], target[target >= 0]
+    fresh = ~(table[target] == source[:, None]).any(1)
+    source, target = source[fresh], target[fresh]
+    order = np.argsort(target, kind="stable")
+    source, target = source[order], target[order]
+    points, firsts, counts = np.unique(target, return_index=True, return_counts=True)
+    for least, most in ((0, 16), (16, 64), (64, len(new) + 1)):
+        some = (counts > least) & (counts <= most)
+        if not some.any():
+            continue
+        rows, wide = points[some], counts[some].max()
+        places = firsts[some][:, None] + np.arange(wide)
+        inside = np.arange(wide) < counts[some][:, None]
+        arriving = np.where(inside, source[np.minimum(places, len(source) - 1)], -1)
+        table[rows] = _diverse(vectors, rows, np.concatenate([table[rows], arriving], axis=1), table.shape[1])
 
 
-def _beam(vectors: np.ndarray, layer: Layer, query: np.ndarray, entry: np.ndarray,
+def beams(vectors: np.ndarray, table: np.ndarray, queries: np.ndarray, entries: np.ndarray,
           beam: int) -> tuple[np.ndarray, np.ndarray]:
-    seen = np.zeros(len(layer.points), bool)
-    seen[entry] = True
-    near = vectors[entry] @ query
-    ahead = [(-n, int(p)) for n, p in zip(near.tolist(), entry.tolist(), strict=True)]
-    found = [(n, int(p)) for n, p in zip(near.tolist(), entry.tolist(), strict=True)]
-    ahead.sort()
-    found.sort()
-    while ahead:
-        nearness, point = heappop(ahead)
-        if len(found) >= beam and -nearness < found[0][0]:
+    """For all queries at once, from one entry each: the ``beam`` nearest points met when
+    each of them has shown its neighbours, and their nearness; -1 fills a row."""
+    count = len(queries)
+    points, near = np.full((count, beam), -1, np.int32), np.full((count, beam), -np.inf, queries.dtype)
+    fresh = np.zeros((count, beam), bool)
+    points[:, 0], fresh[:, 0] = entries, True
+    near[:, 0] = np.einsum("ij,ij->i", vectors[entries], queries)
+    live = np.arange(count)
+    while len(live):
+        ahead = np.where(fresh[live], near[live], -np.inf)
+        at = ahead.argmax(1)
+        going = ahead[np.arange(len(live)), at] > -np.inf
+        live, at = live[going], at[going]
+        if not len(live):
             break
-        row = layer.neighbours[point]
-        row = row[row >= 0]
-        row = row[~seen[row]]
-        if not len(row):
-            continue
-        seen[row] = True
-        for n, p in zip((vectors[row] @ query).tolist(), row.tolist(), strict=True):
-            if len(found) < beam or n > found[0][0]:
-                heappush(ahead, (-n, p))
-                heappush(found, (n, p))
-                if len(found) > beam:
-                    heappop(found)
-    found.sort(key=lambda x: (-x[0], x[1]))
-    return np.array([p for _, p in found], np.int64), np.array([n for n, _ in found])
+        fresh[live, at] = False
+        shown = table[points[live, at]]
+        new = (shown >= 0) & ~(shown[:, :, None] == points[live][:, None, :]).any(2)
+        reached = np.where(new, np.matmul(vectors[np.maximum(shown, 0)], queries[live][:, :, None])[:, :, 0], -np.inf)
+        all_near = np.concatenate([near[live], reached], axis=1)
+        best = np.argpartition(-all_near, beam - 1, axis=1)[:, :beam]
+        near[live] = np.take_along_axis(all_near, best, 1)
+        points[live] = np.take_along_axis(np.concatenate([points[live], shown], axis=1), best, 1)
+        fresh[live] = np.take_along_axis(np.concatenate([fresh[live], new], axis=1), best, 1)
+    points[near == -np.inf] = -1
+    return points, near
+
+
+def _entries(vectors: np.ndarray, above: list[Layer], queries: np.ndarray) -> np.ndarray:
+    """Where each query enters the layer below ``above``."""
+    entry = np.zeros(len(queries), np.int64)
+    for layer in reversed(above):
+        points, near = beams(vectors, layer.neighbours, queries, entry, DESCENT)
+        entry = points[np.arange(len(queries)), near.argmax(1)]
+    return entry
+
+
+def searched(unit: np.ndarray, layers: list[Layer], queries: np.ndarray, beam: int) -> np.ndarray:
+    """Points met last for each query, at most ``beam``; -1 fills a row."""
+    vectors, asked = unit.astype(np.float32), queries.astype(np.float32)
+    found = [beams(vectors, layers[0].neighbours, part, _entries(vectors, layers[1:], part), beam)[0]
+             for part in np.array_split(asked, -(-len(asked) // BATCH))]
+    return np.concatenate(found)
+
+
+def search(unit: np.ndarray, layers: list[Layer], query: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points met last for one query and their nearness, nearest first, at most ``beam``."""
+    found = searched(unit, layers, query[None], beam)[0]
+    found = found[found >= 0].astype(np.int64)
+    near = unit[found] @ query
+    order = np.lexsort((found, -near))
+    return found[order], near[order]
 
 
 def _unit(raw: np.ndarray) -> np.ndarray:
@@ -206,8 +256,8 @@ def _answers(graph: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int) -> p
         point_at, flat_at = point_at + size, flat_at + size * own_width
     out = []
     asked = scaled(queries["vector"])
-    for own, query, given in zip(queries["vec_id"].tolist(), _unit(asked), asked, strict=True):
-        found, _ = search(unit, layers, query, beam)
+    for own, met, given in zip(queries["vec_id"].tolist(), searched(unit, layers, _unit(asked), beam), asked, strict=True):
+        found = met[met >= 0]
         scores = cosines(raw[found], given)
         # One more than asked for, as the query's own does not count, and all that tie with it.
         order = np.argsort(-scores, kind="stable")
@@ -218,7 +268,7 @@ def _answers(graph: pd.DataFrame, queries: pd.DataFrame, k: int, beam: int) -> p
     return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
 
-def nearest(vectors: DataFrame, k: int = 5, every: int = 50, shard_points: int = 8192, shards: int = 8,
+def nearest(vectors: DataFrame, k: int = 5, every: int = 50, shard_points: int = 65_536, shards: int = 8,
             links: int = 16, beam: int = 96, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
     """Rows (query_id, rank, vec_id, score): the ``k`` nearest other rows found for each
     row whose id is divisible by ``every``.
