@@ -10,11 +10,13 @@ the views are added with weights fitted on the labels held back.
 At most ``labelled_rows`` labels are used, those whose ids hash lowest; they and the
 models are small and go to every task.  Everything else covers all documents: a
 round is one pass that adds up feature counts per task, summed by Spark, and scoring
-is a projection.  No text is shuffled.
+is a column: texts go to Python once and do not come back.  No text is shuffled.
 
-Without labels of both classes every document gets one half and is kept.  Null text counts as empty, null metadata as a value of
-its own.  Of several labels of a document the lowest counts; labels of unknown
-documents count for nothing.  Rows that repeat are scored one by one.  ``keep`` names
+Without labels of both classes every document gets one half and is kept.  Null text
+counts as empty, null metadata as a value of its own; texts are taken whole, whatever
+their length.  Of several labels of a document the lowest counts; labels of unknown
+documents count for nothing.  Rows that repeat are scored one by one; of a held-back
+label's rows the one with the lowest scores calibrates.  ``keep`` names
 columns to carry over.
 """
 
@@ -26,7 +28,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ class Views:
     def of(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         if len(self._words) > REMEMBERED:
             self._words = Words()
-        texts = batch.column("text").to_pylist()
+        texts = [t or "" for t in batch.column("text").to_pylist()]
         split = [t.split() for t in texts]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         owner = np.repeat(np.arange(len(split)), counts)
@@ -155,7 +156,7 @@ class Classifier:
 
 def _source(docs: DataFrame, id_column: str, text_column: str, lang_column: str, source_column: str) -> DataFrame:
     return docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"),
+        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"),
         F.col(lang_column).cast("string").alias("lang"), F.col(source_column).cast("string").alias("source"))
 
 
@@ -210,7 +211,8 @@ def _calibrated(docs: DataFrame, counts: list, labels: dict[int, int]) -> Classi
                     [part.column("doc_id"), pa.array(classifier.words.raw(features, owners, len(part))),
                      pa.array(classifier.meta.raw(meta, meta_owners, len(part)))], ["doc_id", "words", "meta"])
 
-    raw = docs.mapInArrow(run, "doc_id long, words double, meta double").toArrow()
+    raw = (docs.mapInArrow(run, "doc_id long, words double, meta double")
+           .groupBy("doc_id").agg(F.min(F.struct("words", "meta")).alias("least")).select("doc_id", "least.*").toArrow())
     truth = np.array([labels[d] for d in raw.column("doc_id").to_pylist()], np.float64)
     models, means = (classifier.words, classifier.meta), (raw.column(c).to_numpy() for c in ("words", "meta"))
     logits = []
@@ -255,24 +257,22 @@ def score(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", te
           threshold: float = 0.5) -> DataFrame:
     """Rows (doc_id, words_view, meta_view, quality, is_good, then ``keep``): the calibrated
     probabilities of good quality by each view and by both; good from ``threshold`` up."""
-    wide = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"),
-        F.col(lang_column).cast("string").alias("lang"), F.col(source_column).cast("string").alias("source"),
-        *(F.col(c).alias(f"kept_{c}") for c in keep))
-    fields = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    added = ["words_view", "meta_view", "quality"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<words_view: double, meta_view: double, quality: double>")
+    def judged(arrays: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         reader = Views()
-        for batch in batches:
-            for part in slices(batch, "text"):
+        for text, lang, source in arrays:
+            parts = []
+            for part in slices(pa.RecordBatch.from_arrays([text, lang, source], ["text", "lang", "source"]), "text"):
                 words, meta = classifier.logits(reader.of(part), len(part))
-                columns = [1 / (1 + np.exp(-np.clip(x, -700, 700)))
-                           for x in (words, meta, classifier.combined(*(np.clip(v, -10, 10) for v in (words, meta))))]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *map(pa.array, columns), pc.greater_equal(pa.array(columns[2]), threshold),
-                     *(part.column(f"kept_{c}") for c in keep)],
-                    ["doc_id", *added, "is_good", *keep])
-
-    return wide.mapInArrow(
-        run, f"doc_id long, words_view double, meta_view double, quality double, is_good boolean{fields}")
+                both = classifier.combined(*(np.clip(v, -10, 10) for v in (words, meta)))
+                parts.append(np.stack([1 / (1 + np.exp(-np.clip(x, -700, 700))) for x in (words, meta, both)]))
+            columns = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0))
+            yield pa.StructArray.from_arrays(list(map(pa.array, columns)), ["words_view", "meta_view", "quality"])
+
+    # Not deterministic for Spark only: else a filter on the result would judge every text twice.
+    verdict = judged.asNondeterministic()(
+        F.col(text_column), F.col(lang_column).cast("string"), F.col(source_column).cast("string"))
+    return docs.select(
+        F.col(id_column).cast("long").alias("doc_id"), verdict.alias("verdict"), *(F.col(c).alias(f"kept_{c}") for c in keep)
+    ).select("doc_id", "verdict.*", F.expr(f"verdict.quality >= {threshold}").alias("is_good"),
+             *(F.col(f"kept_{c}").alias(c) for c in keep))
