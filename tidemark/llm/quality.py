@@ -35,7 +35,7 @@ from tidemark.llm.common import slices
 
 WORD_FEATURES, META_FEATURES = 1 << 16, 1 << 12
 SMOOTHING = 1.0
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 HELD_BACK = 3  # one label in so many calibrates, the others train
 REPEATED = zlib.crc32(b"word=repeated") % WORD_FEATURES
 
