@@ -36,7 +36,7 @@ from tidemark.llm.common import Scratch, likely_members
 from tidemark.llm.shingles import mixed, window_hashes, word_hashes
 
 BUCKET_BYTES = 6_000_000
-FLUSH = 1_500_000
+FLUSH = 1_000_000
 LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -45,11 +45,29 @@ def _keys(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (((hashes >> np.uint64(32)) % np.uint64(buckets)) << np.uint64(32)) | (hashes & LOW)
 
 
+def _starts(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
+
+
 def _cuts(sorted_buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     firsts = np.flatnonzero(np.concatenate([[True], sorted_buckets[1:] != sorted_buckets[:-1]]))
     return firsts, sorted_buckets[firsts]
 
 
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _distinct_pairs(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs once each, sorted by key and then document."""
+    order = np.lexsort((docs, keys))
+    keys, docs = keys[order], docs[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
+    return keys[fresh], docs[fresh]
+
+
 def _packed(columns: list[np.ndarray], buckets: np.ndarray) -> dict[int, list[bytes]]:
     """Columns, sorted by bucket, as bytes per bucket."""
     if not len(buckets):
@@ -61,13 +79,8 @@ def _packed(columns: list[np.ndarray], buckets: np.ndarray) -> dict[int, list[by
 
 def _index(source: DataFrame, block: int, buckets: int) -> DataFrame:
     def flush(probes: list, blocks: list, docs: list) -> pa.RecordBatch:
-        probed = np.unique(np.concatenate(probes))
-        keys, own = np.concatenate(blocks), np.concatenate(docs)
-        order = np.lexsort((own, keys))
-        keys, own = keys[order], own[order]
-        fresh = np.ones(len(keys), bool)
-        fresh[1:] = (keys[1:] != keys[:-1]) | (own[1:] != own[:-1])
-        keys, own = keys[fresh], own[fresh]
+        probed = _distinct(np.concatenate(probes))
+        keys, own = _distinct_pairs(np.concatenate(blocks), np.concatenate(docs))
         by_probe = _packed([(probed & LOW).astype(np.uint32)], probed >> np.uint64(32))
         by_block = _packed([(keys & LOW).astype(np.uint32), own], keys >> np.uint64(32))
         names = sorted(by_probe.keys() | by_block.keys())
@@ -98,23 +111,33 @@ def _index(source: DataFrame, block: int, buckets: int) -> DataFrame:
 
 
 def _joined(table: pa.Table, column: str, kind: type) -> np.ndarray:
-    return np.concatenate([np.frombuffer(b, kind) for b in table.column(column).to_pylist()])
+    """The cells of a column of packed numbers, one after the other; those of a chunk
+    lie so already."""
+    parts = []
+    for chunk in table.column(column).chunks:
+        _, offsets, data = chunk.buffers()
+        ends = np.frombuffer(offsets, np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+        if len(chunk) and ends[-1] > ends[0]:
+            parts.append(np.frombuffer(data[int(ends[0]):int(ends[-1])], kind))
+    return np.concatenate(parts) if parts else np.zeros(0, kind)
 
 
 def _anchors(table: pa.Table) -> pa.Table:
     """Blocks of one bucket that another document's block or any other window equals."""
-    probes = np.unique(_joined(table, "probes", np.uint32))
+    probes = np.sort(_joined(table, "probes", np.uint32))
     keys, docs = _joined(table, "blocks", np.uint32), _joined(table, "docs", np.int64)
-    order = np.lexsort((docs, keys))
+    order = np.argsort(keys)
     keys, docs = keys[order], docs[order]
-    fresh = np.ones(len(keys), bool)
-    fresh[1:] = (keys[1:] != keys[:-1]) | (docs[1:] != docs[:-1])
-    keys, docs = keys[fresh], docs[fresh]
-    _, back, counts = np.unique(keys, return_inverse=True, return_counts=True)
-    shared = (counts[back] > 1) | np.isin(keys, probes, assume_unique=False)
+    starts = _starts(keys)
+    several = np.minimum.reduceat(docs, starts) != np.maximum.reduceat(docs, starts) if len(keys) else starts > 0
+    if len(probes):
+        at = np.minimum(np.searchsorted(probes, keys[starts]), len(probes) - 1)
+        several |= probes[at] == keys[starts]
+    shared = np.repeat(several, np.diff(np.append(starts, len(keys))))
+    keys, docs = _distinct_pairs(keys[shared], docs[shared])
     bucket = np.uint64(table.column("bucket")[0].as_py())
-    return pa.table({"doc_id": docs[shared],
-                     "anchor": ((bucket << np.uint64(32)) | keys[shared].astype(np.uint64)).view(np.int64)})
+    return pa.table({"doc_id": docs,
+                     "anchor": ((bucket << np.uint64(32)) | keys.astype(np.uint64)).view(np.int64)})
 
 
 def _extended(anchored: DataFrame, window: int, block: int, buckets: int) -> DataFrame:
