@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tidemark.contracts import BATCH_ORDER, Entity
 
+HASH = "_hash"
+
 
 @dataclass(frozen=True)
 class RunInfo:
@@ -58,7 +60,7 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Colu
     key there are.
 
     The key's hash leads the sort, because ids share a long common prefix and
-    would be compared in full; eight bytes of hash decide nearly every
+    would be compared in full; four bytes of hash decide nearly every
     comparison.  ``keep_partitioning`` leaves it out, so that the result is
     partitioned by the key alone and a join on the key needs no further shuffle.
 
@@ -66,7 +68,8 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Colu
     same pass.  They are grouped by their content and input partition, and as only
     rows with a key have a last tie-breaker, equal ones share the first rank.
     ``group`` names a text column to add that is a single text key, or where that is
-    missing such a group; the result is then partitioned by it, for a join with texts.
+    missing such a group; the result is then partitioned and sorted by its hash (column
+    ``HASH``) and it, for a join with texts on both.  The key itself does not travel.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in newest_first]
     named = {c for c in newest_first if isinstance(c, str)}
@@ -86,12 +89,28 @@ def latest(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Colu
     if group:
         # No text key starts with a NUL.
         marked = marked.withColumn(group, F.coalesce(*groups, F.concat(F.lit("\0"), content.cast("string"))))
-        window = Window.partitionBy(group)
+        marked = marked.withColumn(HASH, F.hash(group)).drop(*keys)
+        window = Window.partitionBy(HASH, group)
     else:
         marked = marked.withColumn("_content", F.when(unkeyed, content))
-        window = Window.partitionBy(F.xxhash64(*keys), *groups, "_content")
+        window = Window.partitionBy(F.hash(*keys), *groups, "_content")
     ranked = marked.withColumn("_rank", F.rank().over(window.orderBy(*order, "_copy")))
-    return ranked.filter(F.col("_rank") == 1).drop("_rank", "_copy", "_content")
+    kept = ranked.filter(F.col("_rank") == 1).drop("_rank", "_copy", "_content")
+    if group:
+        key = F.when(~F.startswith(group, F.lit("\0")), F.col(group))
+        kept = kept.select(*[key.alias(c) if c in keys else F.col(c) for c in df.columns], group, HASH)
+    return kept
+
+
+def join_by_hash(left: DataFrame, right: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join on a text key, with its hash ahead of it.
+
+    Keys that share a long prefix are then sorted by four bytes and not compared in
+    full.  The hash is computed on both sides and does not travel.
+    """
+    side = right.withColumnRenamed(key, "_side_key")
+    same = (F.hash(key) == F.hash("_side_key")) & (F.col(key) == F.col("_side_key"))
+    return left.join(side, same, how).drop("_side_key")
 
 
 def unkeyed_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
-from tidemark.operators.conform import conform, latest_conformed, unkeyed_rows
+from tidemark.operators.conform import HASH, conform, latest_conformed, unkeyed_rows
 
 FLAG = "is_valid"
 REASON = "quarantine_reason"
@@ -55,7 +55,8 @@ def split_quality(df: DataFrame, rules: Mapping[str, str | Column],
 
 def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
                 detail: bool = False, check_parent: bool = True,
-                joined_next: bool = False, only: DataFrame | None = None) -> DataFrame:
+                joined_next: bool = False, only: DataFrame | None = None,
+                unique_parent: bool = False) -> DataFrame:
     """Latest conformed rows of an entity with their verdict.
 
     For an entity with a parent, ``parent`` holds the parent's valid rows; a
@@ -64,6 +65,7 @@ def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
     leave it out here.  ``joined_next`` says that the plan goes on to join on the
     entity's key, so the rows should stay partitioned by it; rows without a key are
     then left to ``flag_unkeyed``.  ``only`` limits the rows to those of its keys.
+    ``unique_parent`` says that ``parent`` has no key twice, as written silver has not.
     """
     checked = entity.parent is not None and check_parent
     rules: dict[str, str | Column] = dict(entity.rules)
@@ -73,13 +75,18 @@ def flag_entity(raw: DataFrame, entity: Entity, parent: DataFrame | None = None,
     if parent is None:
         raise ValueError(f"{entity.table} needs the valid rows of {entity.parent[0]}")
     key = entity.parent[1]
-    present = parent.select(key).distinct().withColumn("_parent", F.lit(True))
+    present = parent.select(key)
     rules["parent"] = F.col("_parent")
     if joined_next or key != entity.key:
-        rows = latest_conformed(raw, entity, joined_next, only).join(present, key, "left")
+        joined = [key]
+        rows = latest_conformed(raw, entity, joined_next, only)
     else:
+        joined = [HASH, "_group"]
         rows = latest_conformed(raw, entity, only=only, group="_group")
-        rows = rows.join(present.withColumnRenamed(key, "_group"), "_group", "left").drop("_group")
+        present = present.select(F.hash(key).alias(HASH), F.col(key).alias("_group"))
+    if not unique_parent:
+        present = present.distinct()
+    rows = rows.join(present.withColumn("_parent", F.lit(True)), joined, "left").drop(HASH, "_group")
     return flag_quality(rows, rules, entity.reason, detail).drop("_parent")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.contracts import Entity
-from tidemark.operators.conform import RunInfo
+from tidemark.operators.conform import RunInfo, join_by_hash
 
 
 def _count(df: DataFrame) -> Column:
@@ -53,7 +53,7 @@ def reconcile_relationship(one_row: DataFrame, run: RunInfo, alerts: DataFrame,
     counts = one_row.select(
         _count(linked).alias("source_count"),
         F.lit(0).cast("bigint").alias("duplicate_count"),
-        _count(orphan_alerts(alerts, transactions)).alias("quarantine_count"),
+        _count(orphan_alerts(alerts, transactions, by_hash=True)).alias("quarantine_count"),
         F.lit(None).cast("bigint").alias("gold_count"),
     ).withColumn("silver_count", F.col("source_count") - F.col("quarantine_count"))
     return _result(counts, run, "cross_domain", "fraud_alerts_to_transactions",
@@ -76,10 +76,13 @@ def all_results(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def orphan_alerts(alerts: DataFrame, transactions: DataFrame) -> DataFrame:
+def orphan_alerts(alerts: DataFrame, transactions: DataFrame, by_hash: bool = False) -> DataFrame:
     """Alerts whose transaction is not among the valid ones."""
     linked = alerts.filter(F.col("TransactionID").isNotNull())
-    return linked.join(transactions.select("TransactionID"), "TransactionID", "left_anti")
+    known = transactions.select("TransactionID")
+    if by_hash:
+        return join_by_hash(linked, known, "TransactionID", "left_anti")
+    return linked.join(known, "TransactionID", "left_anti")
 
 
 def joined_alert_count(alerts: DataFrame, transactions: DataFrame) -> DataFrame:

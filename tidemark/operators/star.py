@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import surrogate_key
+from tidemark.operators.conform import join_by_hash
 
 Silver = Mapping[str, DataFrame]
 
@@ -84,19 +85,21 @@ def dim_date(silver: Silver, extra_dates: DataFrame | None = None) -> DataFrame:
 
 
 def fact_transactions(silver: Silver, keep_unknown_accounts: bool = False,
-                      natural_keys: bool = False) -> DataFrame:
+                      natural_keys: bool = False, by_hash: bool = False) -> DataFrame:
     """Valid transactions with their risk score and dimension keys.
 
     Transactions without an account have no account dimension row and are left
     out, unless ``keep_unknown_accounts`` keeps them with a NULL key.
     ``natural_keys`` also returns the ids the keys stand for; the merchant id is
-    then NULL where the merchant is not in the dimension.
+    then NULL where the merchant is not in the dimension.  ``by_hash`` joins the scores
+    by the hash of the id first; not for rows that lie partitioned by the id.
     """
     rows = silver["transactions"]
     if not keep_unknown_accounts:
         rows = rows.filter(F.col("AccountID").isNotNull())
     scores = silver["transaction_risk"].select("TransactionID", "RiskScore", "RiskBand")
-    rows = rows.join(scores, "TransactionID", "left")
+    rows = (join_by_hash(rows, scores, "TransactionID") if by_hash
+            else rows.join(scores, "TransactionID", "left"))
     rows = lookup_key(rows, dim_merchant(silver), "MerchantID", "MerchantSK")
     account_key = F.when(F.col("AccountID").isNotNull(), surrogate_key("AccountID"))
     columns = [

@@ -74,7 +74,8 @@ def build_silver(store: LayerStore, raw: Mapping[str, DataFrame], settings: Sett
             parent = store.spark.read.schema(rows.schema).format(store.fmt).load(
                 location).filter(F.col(FLAG))
         buckets = settings.bucketing(entity)
-        flagged = flag_entity(raw[entity.source], entity, parent, joined_next=bool(buckets))
+        flagged = flag_entity(raw[entity.source], entity, parent, joined_next=bool(buckets),
+                              unique_parent=True)
         if buckets:
             # All go to quarantine, so the valid half stays partitioned by the key.
             flagged = flagged.unionByName(flag_unkeyed(raw[entity.source], entity))
@@ -122,9 +123,9 @@ def build_gold(store: LayerStore, settings: Settings) -> int:
         "CustomerID", "CustomerSK")
     tables = {
         "FactTransactions": lambda: star.fact_transactions(
-            silver, settings.keep_unknown_accounts),
+            silver, settings.keep_unknown_accounts, by_hash=not settings.buckets),
         "AggCustomerRiskProfile": lambda: profile.customer_risk_profile(
-            silver, customers=customers),
+            silver, customers=customers, by_hash=not settings.buckets),
         "FactDigitalSessions": lambda: star.fact_sessions(silver),
         "FactFraudAlerts": lambda: star.fact_alerts(silver),
         "DimAccount": lambda: star.dim_account(silver),
