@@ -23,7 +23,7 @@ import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from unicodedata import category, normalize
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,8 @@ WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
 NEVER = np.iinfo(np.int32).max
 # What an encoder remembers at most: chunks, their characters in all, and of one.
 REMEMBERED, REMEMBERED_CHARACTERS, REMEMBERED_LENGTH = 400_000, 6_000_000, 64
+# Bytes of text encoded at once: what Python holds for them is many times as much.
+SLICE = 2_000_000
 ENDED = 256
 MATRIX_WIDTHS = (8, 16, 32, 64)
 # No word spans a blank between two characters that are no white space, so texts
@@ -414,15 +416,16 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
         """Ids of all texts, one after the other, and how many each text has."""
-        chunked = list(map(self._chunks, texts))
         before, used = len(self._starts), self._used
-        rows = np.fromiter(map(self._place.__getitem__, chain.from_iterable(chunked)), np.int64)
+        # The chunks of one text at a time: as text they take many times what their numbers do.
+        placed = [np.fromiter(map(self._place.__getitem__, self._chunks(text)), np.int32) for text in texts]
+        rows = np.concatenate([np.zeros(0, np.int32), *placed])
         new = list(islice(reversed(self._place), len(self._place) - before))[::-1]
         if new:
             self._learn(new)
         counts = self._counts[rows]
         ids = self._pool[spread(self._starts[rows], counts)]
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, chunked)])]
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, placed)])]
         self._forget(new, before, used)
         return ids, np.diff(ends).tolist()
 
@@ -471,7 +474,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(vocabulary(path))
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 ids, counts = encoder.encode(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), lists(ids, counts, pa.int32())], ["doc_id", "ids"])

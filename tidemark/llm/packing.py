@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import Encoder, vocabulary
+from tidemark.llm.bpe import SLICE, Encoder, vocabulary
 from tidemark.llm.common import Scratch, lists, slices
 
 PIECE = "doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids array<int>"
@@ -134,7 +134,7 @@ def pack(docs: DataFrame, path: str, window: int = 2048, open_windows: int = 32,
         id_type = None
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 flat, counts = encoder.encode(part.column("text").to_pylist())
                 at = 0
                 for doc, count in zip(part.column("doc_id").to_pylist(), counts, strict=True):
