@@ -1,9 +1,12 @@
 """Steps made cheaper: what they give, and what they hold or do once."""
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 
-from tidemark.llm import substring
+from tidemark.llm import bpe, quality, substring
+from tidemark.llm.common import slices
 
 
 def _cells(*parts):
@@ -30,3 +33,29 @@ def test_cells_of_a_chunk_are_read_where_they_lie():
     before = pa.total_allocated_bytes()
     joined = substring._joined(table, "probes", np.uint32)
     assert joined.tolist() == [1, 2, 3] and pa.total_allocated_bytes() == before
+
+
+def _texts(*texts):
+    return pa.RecordBatch.from_pydict({"text": list(texts), "lang": ["en"] * len(texts), "source": ["s"] * len(texts)})
+
+
+def test_remembered_words_stay_and_give_the_same_features(monkeypatch):
+    monkeypatch.setattr(quality, "REMEMBERED", 3)
+    looked_at = []
+    features = quality._word_features
+    monkeypatch.setattr(quality, "_word_features", lambda words: looked_at.extend(words) or features(words))
+    views, batch = quality.Views(), _texts("One two. THREE four", "One five two. 7 One")
+    first, again = views.of(batch), views.of(batch)
+    assert looked_at == ["One", "two.", "THREE", "four", "five", "7", "four", "five", "7"]
+    assert all((a == b).all() for a, b in zip(first, again, strict=True))
+    meta = first[2].reshape(2, 8)
+    named = [("upper", 2, quality._share(1, 4)), ("plain", 2, quality._share(4, 4))]
+    for name, _, share in named:
+        assert zlib.crc32(f"{name}={share}".encode()) % quality.META_FEATURES in meta[0].tolist()
+    assert zlib.crc32(f"plain={quality._share(4, 5)}".encode()) % quality.META_FEATURES in meta[1].tolist()
+
+
+def test_texts_are_encoded_in_bounded_slices():
+    texts = pa.RecordBatch.from_pydict({"text": ["x" * 400_000] * 5 + ["y" * 3_000_000]})
+    sizes = [sum(map(len, part.column("text").to_pylist())) for part in slices(texts, "text", bpe.SLICE)]
+    assert sizes == [2_000_000, 3_000_000]

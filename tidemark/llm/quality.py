@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,15 +38,26 @@ SMOOTHING = 1.0
 REMEMBERED = 100_000
 HELD_BACK = 3  # one label in so many calibrates, the others train
 REPEATED = zlib.crc32(b"word=repeated") % WORD_FEATURES
+MARKS = "#$%&*!|.,;:?()[]{}<>\"'~^_=+-/\\@"
+SHAPES = zlib.crc32(b"shape=othera"), zlib.crc32(b"shape=uppera")  # of words without marks
 
 
-def _word_features(word: str) -> tuple[int, int]:
-    """A word's letters, and its shape: case and the marks around it."""
-    letters = word.strip("#$%&*!|.,;:?()[]{}<>\"'~^_=+-/\\@")
+def _word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word its letters, its shape (case and the marks around it), whether it is
+    upper case, and whether it is letters up to full stops and commas."""
+    bare = [w.strip(MARKS) for w in words]
+    upper = [w.isupper() for w in words]
+    letters = [zlib.crc32(b.lower().encode()) for b in bare]
+    shapes = [(SHAPES[u and len(w) > 1] if b is w else _shape(w, b)) for w, b, u in zip(words, bare, upper, strict=True)]
+    plain = [w.rstrip(".,").isalpha() for w in words]
+    return (np.array(letters, np.int64) % WORD_FEATURES, np.array(shapes, np.int64) % WORD_FEATURES,
+            np.array(upper, bool), np.array(plain, bool))
+
+
+def _shape(word: str, letters: str) -> int:
     case = "none" if not letters else "upper" if letters.isupper() and len(letters) > 1 else "other"
     marks = word.replace(letters, "a", 1) if letters else word
-    return (zlib.crc32(letters.lower().encode()) % WORD_FEATURES,
-            zlib.crc32(f"shape={case}{marks}".encode()) % WORD_FEATURES)
+    return zlib.crc32(f"shape={case}{marks}".encode())
 
 
 class Words(dict):
@@ -54,16 +65,26 @@ class Words(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.letters: list[int] = []
-        self.shapes: list[int] = []
+        self.features = _word_features([])
 
     def __missing__(self, word: str) -> int:
         self[word] = place = len(self)
-        letters, shape = _word_features(word)
-        self.letters.append(letters)
-        self.shapes.append(shape)
         return place
 
+    def learn(self) -> None:
+        """Features of the words numbered since."""
+        count = len(self) - len(self.features[0])
+        if count:
+            new = _word_features(list(islice(reversed(self), count))[::-1])
+            self.features = tuple(map(np.concatenate, zip(self.features, new, strict=True)))
+
+    def forget(self, most: int) -> None:
+        """Keep the first ``most`` words, which have the frequent ones among them."""
+        if len(self) > most:
+            while len(self) > most:
+                self.popitem()
+            self.features = tuple(f[:most].copy() for f in self.features)
+
 
 def _share(part: float, whole: float) -> int:
     return int(10 * part / whole) if whole else -1
@@ -76,27 +97,27 @@ class Views:
         self._words = Words()
 
     def of(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        if len(self._words) > REMEMBERED:
-            self._words = Words()
         texts = [t or "" for t in batch.column("text").to_pylist()]
         split = [t.split() for t in texts]
         counts = np.fromiter(map(len, split), np.int64, len(split))
         owner = np.repeat(np.arange(len(split)), counts)
         rows = np.fromiter(map(self._words.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
         again = np.flatnonzero((rows[1:] == rows[:-1]) & (owner[1:] == owner[:-1])) + 1 if len(rows) else rows
-        letters, shapes = np.array(self._words.letters, np.int64), np.array(self._words.shapes, np.int64)
+        self._words.learn()
+        letters, shapes, is_upper, is_plain = self._words.features
         features = np.concatenate([letters[rows], shapes[rows], np.full(2 * len(again), REPEATED)])
         owners = np.concatenate([owner, owner, owner[again], owner[again]])
+        uppers, plains = (np.bincount(owner[kind[rows]], minlength=len(split)).tolist() for kind in (is_upper, is_plain))
         meta = []
         langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
-        for text, words, lang, source in zip(texts, split, langs, sources, strict=True):
-            upper = sum(map(str.isupper, words))
+        for text, words, lang, source, upper, plain in zip(texts, split, langs, sources, uppers, plains, strict=True):
             named = (("lang", lang), ("source", source), ("length", len(text).bit_length()),
                      ("lines", (text.count("\n") + 1).bit_length()), ("upper", _share(upper, len(words))),
                      ("distinct", _share(len(set(words)), len(words))),
-                     ("plain", _share(sum(w.rstrip(".,").isalpha() for w in words), len(words))),
+                     ("plain", _share(plain, len(words))),
                      ("word", _share(len(text), 10 * len(words))))
             meta += [zlib.crc32(f"{k}={v}".encode()) % META_FEATURES for k, v in named]
+        self._words.forget(REMEMBERED)
         meta_owner = np.repeat(np.arange(len(texts)), 8)
         return features, owners, np.array(meta, np.int64), meta_owner
 
