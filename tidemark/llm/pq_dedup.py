@@ -5,9 +5,11 @@ Classes are coded: the nearest of the coarse centroids, and for each subspace of
 residual the nearest of its codewords.  A class is compared with every list whose cell
 its neighbourhood can reach: the plane between two centroids is nearer than the
 radius of the threshold.  No list within that bound is left out, so every link is
-found.  Within a list, distances come from one table of the query's residual and the
-codes; only members whose distance, less their own coding error, is within the radius
-are compared exactly, in double precision.
+found.  Within a list, members near each other have one of them as leader, and a class
+asks a list only if its leader and one there are within the radius and both leaders'
+spreads.  Distances from a class to the members of a list it asks are those to the vectors
+their codes stand for, one matrix product; only members whose distance, less their own
+coding error, is within the radius are compared exactly, in double precision.
 
 Centroids and codewords are fitted on a bounded sample; every class is indexed.
 Neighbouring lists are packed into blocks of bounded size and a large list is split
@@ -15,7 +17,7 @@ over several; a task has one pair of blocks, and a pair is only made if the one
 reaches a list of the other.  It emits counts and a star of links per local
 component, never the pairs of vectors.  Where cells are not well apart, as with
 evenly spread vectors of many dimensions, most blocks reach each other and the work
-grows with the square of the number of classes.
+grows with the square of the number of leaders: of classes, if none are near each other.
 
 Vectors that are null or zero, or hold null or non-finite components link with nothing;
 neither do rows without an id, which get a null component.  Vectors of different lengths
@@ -39,10 +41,12 @@ from tidemark.llm.hnsw import matrix, usable
 
 BLOCK_BYTES = 4 << 20
 CELLS = 1 << 21
+LED = 1024
 CODED = "cls long, size long, unit binary, list int, codes binary, error double"
-PACKED = ("block int, cls binary, size binary, unit binary, list binary, codes binary, error binary, "
-          "lists array<int>, reach array<int>")
-KINDS = {"cls": np.int64, "size": np.int64, "unit": np.float64, "list": np.int32, "codes": np.uint8, "error": np.float64}
+PACKED = ("block int, cls binary, size binary, unit binary, list binary, codes binary, error binary, leader binary, "
+          "apart binary, lists array<int>, reach array<int>")
+KINDS = {"cls": np.int64, "size": np.int64, "unit": np.float64, "list": np.int32, "codes": np.uint8, "error": np.float64,
+         "leader": np.int32, "apart": np.float64}
 
 
 def k_means(points: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
@@ -85,14 +89,20 @@ class Quantiser:
             error += ((rest[:, s] - w[codes[:, i]]) ** 2).sum(1)
         return own, codes.astype(np.uint8), np.sqrt(error)
 
-    def reaches(self, unit: np.ndarray, own: np.ndarray, radius: float) -> np.ndarray:
-        """Whether a point of each list can be within ``radius``; of linked points each
-        reaches the other's list.  Multiplied out, as centroids may coincide."""
-        square = distances(unit, self.coarse)
-        mine = square[np.arange(len(unit)), own][:, None]
-        found = square - mine <= 2 * radius * self.apart[own] + 1e-7
-        found[np.arange(len(unit)), own] = True
-        return found
+    def decode(self, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The vectors that lists and codes stand for."""
+        out = self.coarse[own]
+        for i, (s, w) in enumerate(zip(self.splits, self.words, strict=True)):
+            out[:, s] += w[codes[:, i]]
+        return out
+
+    def reaches(self, unit: np.ndarray, own: np.ndarray, radius: float, lists: np.ndarray | None = None) -> np.ndarray:
+        """Whether a point of each list, or of each of ``lists``, can be within ``radius``; of
+        linked points each reaches the other's list.  Multiplied out, as centroids may coincide."""
+        lists = np.arange(len(self.coarse)) if lists is None else lists
+        mine = ((unit - self.coarse[own]) ** 2).sum(1)[:, None]
+        found = distances(unit, self.coarse[lists]) - mine <= 2 * radius * self.apart[own[:, None], lists] + 1e-7
+        return found | (own[:, None] == lists)
 
     def order(self) -> np.ndarray:
         """Lists along the axis on which the centroids differ most, so that lists packed
@@ -117,6 +127,28 @@ def places(sizes: dict[int, int], order: np.ndarray, most: int) -> list[tuple[in
     return out
 
 
+def led(unit: np.ndarray, own: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """Leaders of points sorted by list, as places, and the distances to them, at most about
+    ``radius``.  A point is led by one of its list, or by itself."""
+    leader, apart = np.arange(len(unit), dtype=np.int32), np.zeros(len(unit))
+    starts = np.flatnonzero(np.diff(own, prepend=-1))
+    for first, last in zip(starts.tolist(), [*starts[1:].tolist(), len(unit)], strict=True):
+        for i in range(first, last, LED):
+            points = unit[i:min(i + LED, last)]
+            near = points @ points.T >= 1 - radius ** 2 / 2
+            np.fill_diagonal(near, True)
+            rest = np.arange(len(points))
+            while len(rest):
+                # The first point near each; those that are first for themselves lead.
+                head = near[np.ix_(rest, rest)].argmax(1)
+                leads = head[head] == head
+                leader[i + rest[leads]] = i + rest[head[leads]]
+                rest = rest[~leads]
+    for i in range(0, len(unit), LED):
+        apart[i:i + LED] = np.sqrt(((unit[i:i + LED] - unit[leader[i:i + LED]]) ** 2).sum(1))
+    return leader, apart
+
+
 def _pack(group: pd.DataFrame, quantiser: Quantiser, radius: float) -> pd.DataFrame:
     """A block as one row, with the lists it holds and those it reaches."""
     group = group.sort_values(["list", "cls"])
@@ -125,8 +157,9 @@ def _pack(group: pd.DataFrame, quantiser: Quantiser, radius: float) -> pd.DataFr
     reach = np.zeros(len(quantiser.coarse), bool)
     for i in range(0, len(unit), 1024):
         reach |= quantiser.reaches(unit[i:i + 1024], own[i:i + 1024], radius).any(0)
+    leader, apart = led(unit, own, radius)
     return pd.DataFrame({
-        "block": [int(group["block"].iloc[0])],
+        "block": [int(group["block"].iloc[0])], "leader": [leader.tobytes()], "apart": [apart.tobytes()],
         **{c: [group[c].to_numpy(KINDS[c]).tobytes()] for c in ("cls", "size", "list", "error")},
         "unit": [unit.tobytes()], "codes": [b"".join(group["codes"])],
         "lists": [np.unique(own).tolist()], "reach": [np.nonzero(reach)[0].tolist()]})
@@ -145,6 +178,50 @@ def _merge(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
+def _within(queries: np.ndarray, points: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, point) of which the point is within its ``reach`` of the query, a vector
+    of length one, and few that are just outside.  One product in single precision, with
+    the bound as one more component, less what rounding can take."""
+    square = (points ** 2).sum(1)
+    rounding = (points.shape[1] + 8) * 2.0 ** -23 * (2 + square + reach ** 2)
+    bound = (1 + square - reach ** 2) / 2 - rounding
+    right = np.concatenate([points, -bound[:, None]], 1).astype(np.float32).T
+    left = np.concatenate([queries, np.ones((len(queries), 1))], 1).astype(np.float32)
+    found = []
+    step = max(1, CELLS // len(points))
+    for i in range(0, len(left), step):
+        over = left[i:i + step] @ right
+        some = np.flatnonzero(over.max(1) >= 0)
+        a, b = np.nonzero(over[some] >= 0)
+        found.append((i + some[a], b))
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
+def _asks(left: dict, right: dict, lists: np.ndarray, quantiser: Quantiser, radius: float) -> np.ndarray:
+    """Which classes of ``left`` ask which lists of ``right``: those within the plane bound
+    that hold a leader near enough to the class's own."""
+    sides = []
+    for side in (left, right):
+        place, of = np.unique(side["leader"], return_inverse=True)
+        spread = np.zeros(len(place))
+        np.maximum.at(spread, of, side["apart"])
+        sides.append((place, of, spread))
+    (mine, of, spread), (theirs, _, their_spread) = sides
+    column = np.searchsorted(lists, right["list"][theirs])
+    near = np.zeros((len(mine), len(lists)), bool)
+    order = np.argsort(spread, kind="stable")
+    points = right["unit"][theirs]
+    for some in np.array_split(order, len(order) // LED + 1):
+        a, b = _within(left["unit"][mine[some]], points, radius + spread[some].max() + their_spread + 1e-9)
+        near[some[a], column[b]] = True
+    asks = near[of]
+    asking = np.flatnonzero(asks.any(1))
+    for i in range(0, len(asking), LED):
+        some = asking[i:i + LED]
+        asks[some] &= quantiser.reaches(left["unit"][some], left["list"][some], radius, lists)
+    return asks
+
+
 def _links(left: dict, right: dict, same: bool, quantiser: Quantiser, radius: float, threshold: float) -> pd.DataFrame:
     """Counts and a star of links between two blocks, or within one.
 
@@ -156,22 +233,20 @@ def _links(left: dict, right: dict, same: bool, quantiser: Quantiser, radius: fl
     counts, root = np.zeros(len(cls), np.int64), np.arange(len(cls))
     lists, starts = np.unique(right["list"], return_index=True)
     ends = [*starts[1:], len(right["list"])]
-    asks = np.concatenate([quantiser.reaches(left["unit"][i:i + 1024], left["list"][i:i + 1024], radius)[:, lists]
-                           for i in range(0, len(left["unit"]), 1024)])
-    for k, (here, start, end) in enumerate(zip(lists.tolist(), starts.tolist(), ends, strict=True)):
-        unit, codes = right["unit"][start:end], right["codes"][start:end]
+    asks = _asks(left, right, lists, quantiser, radius)
+    for k, (start, end) in enumerate(zip(starts.tolist(), ends, strict=True)):
+        asking = np.flatnonzero(asks[:, k])
+        if not len(asking):
+            continue
+        unit = right["unit"][start:end]
+        coded = quantiser.decode(right["list"][start:end], right["codes"][start:end])
         reach = radius + right["error"][start:end] + 1e-9
-        asking = np.nonzero(asks[:, k])[0]
         step = max(1, CELLS // len(unit))
         for i in range(0, len(asking), step):
             some = asking[i:i + step]
             wanted = left["unit"][some]
-            rest = wanted - quantiser.coarse[here]
-            square = np.zeros((len(some), len(unit)))
-            for j, (s, w) in enumerate(zip(quantiser.splits, quantiser.words, strict=True)):
-                square += distances(rest[:, s], w)[:, codes[:, j]]
-            a, b = np.nonzero(square <= reach ** 2)
-            if len(a) > square.size // 16:
+            a, b = _within(wanted, coded, reach)
+            if len(a) > len(some) * len(unit) // 16:
                 near = (wanted @ unit.T)[a, b]
                 exact = np.nonzero(np.abs(near - threshold) < 1e-9)[0]
             else:
