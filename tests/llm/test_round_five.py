@@ -1,10 +1,17 @@
 """Steps made cheaper: few lists asked by leaders, words found in bulk."""
 
 import math
+import random
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
 
-from tidemark.llm import pq_dedup
+from tidemark.llm import bpe, pq_dedup
+
+FOLDED, BYTES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 
 RADIUS = math.sqrt(0.1)
 
@@ -53,3 +60,45 @@ def test_products_in_single_precision_leave_out_no_pair():
     a, b = pq_dedup._within(unit[:400], unit[:400], reach)
     assert {*zip(*map(np.ndarray.tolist, np.nonzero(square <= reach ** 2)), strict=True)} <= {*zip(a.tolist(), b.tolist(), strict=True)}
     assert (square[a, b] <= reach[b] ** 2 + 1e-3).all()
+
+
+def test_words_in_bulk_are_those_of_each_chunk_alone():
+    encoder, rng = bpe.Encoder(bpe.vocabulary(FOLDED)), random.Random(0)
+    signs = [chr(c) for c in [*range(0x250), 0x301, 0x3A3, 0x130, 0x2003, 0x4E2D, 0x1F600]]
+    chunks = ["".join(rng.choices(signs, k=rng.randrange(9))) for _ in range(4000)]
+    chunks += ["".join(rng.choices("abXYZ09,.;'\u00c9\u00e9\u00df\u00d7\u00f7\u00fe", k=rng.randrange(9))) for _ in range(4000)]
+    chunks += ["", "Don't", "'S", "x'll", "1a2", "\u00c9t\u00c9,", "\u00d7", "a\x1cb", "\u00aa\u00ba"]
+    plain, data, lengths, owner = encoder._plain_words(chunks)
+    ends = np.cumsum(lengths)
+    found = [[] for _ in chunks]
+    for i, start, end in zip(owner.tolist(), (ends - lengths).tolist(), ends.tolist(), strict=True):
+        found[i].append(data[start:end].tobytes().decode())
+    assert plain.sum() > 2000 and plain[chunks.index("\u00c9t\u00c9,")]
+    for chunk, own, here in zip(chunks, found, plain.tolist(), strict=True):
+        assert own == ([w for w in encoder._words_of(chunk) if w] if here else [])
+
+
+@pytest.mark.parametrize("path", [FOLDED, BYTES])
+def test_ids_are_the_librarys_whatever_the_blanks_and_marks(path):
+    rng, library = random.Random(1), Tokenizer.from_file(path)
+    parts = [" ", "  ", "\n", "\t ", "\x0b", "\x1c", "\u00a0", "\u0085", "\u2003", "\u0301", "The", "the", "don't", "'s", "\u00c9l\u00e8ve",
+             "\u00d7", "12", "3rd", ",", "...", "\u4e2d\u6587", "\u03a3\u03a3", "stra\u00dfe", "\u0130I", "<|endoftext|>", "\x00"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(600)] + ["", " ", "\n\n", "<|endoftext|>"]
+    plain = [t for t in texts if "<|" not in t]
+    encoder = bpe.Encoder(bpe.vocabulary(path))
+    for some in (texts, plain, texts[:50], [""], [" "]):
+        flat, counts = encoder.encode(pa.array(some))
+        ends = np.cumsum([0, *counts]).tolist()
+        for text, start, end in zip(some, ends, ends[1:], strict=False):
+            assert flat[start:end].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_a_word_is_looked_at_once_wherever_lines_break(monkeypatch):
+    encoder = bpe.Encoder(bpe.vocabulary(FOLDED))
+    learnt = []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: (learnt.extend(new), learn(new)))
+    monkeypatch.setattr(encoder, "_words_of", lambda chunk: pytest.fail(chunk))
+    encoder.encode(["One two\nthree \u00c9t\u00e9, One\ttwo", "two One\n\nthree 4"])
+    encoder.encode(["three two\r\nOne"])
+    assert sorted(filter(None, learnt)) == sorted(["One", "two", "three", "\u00c9t\u00e9,", "4"])

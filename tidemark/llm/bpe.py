@@ -4,7 +4,8 @@ Greedy longest match proposes the tokens of a word.  The proposal is what exact
 merging gives if every token is one that merging its own bytes gives and no two
 neighbours merge across the border between them.  Only words that fail are merged
 exactly.  All three steps run with numpy over all new words of a batch at once;
-what a chunk of text gave is remembered and looked up afterwards.
+what a chunk of text gave is remembered and looked up afterwards, each distinct chunk
+of a batch once.
 
 Two kinds of vocabulary files are read: those whose words keep their blanks, and
 those that fold case, drop white space and mark the end of a word; the file says
@@ -23,10 +24,11 @@ import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from unicodedata import category, normalize
-from itertools import islice
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,15 @@ MATRIX_WIDTHS = (8, 16, 32, 64)
 # are cut there first and the pieces looked up.
 BLANK = re.compile(r" (?<=\S )(?=\S)")
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Kinds of bytes in words of a vocabulary that folds case: letters, single digits, marks,
+# and those that need a look at the characters.  The letters of Latin-1 are a lead byte and
+# one of 64 others, capitals and small ones 32 apart as in ASCII.
+LETTER, DIGIT, MARK, OTHER = range(4)
+LATIN, NO_LETTERS = 0xC3, (0x97, 0xB7)
+BYTE_KINDS = np.array([LETTER if chr(b).isascii() and chr(b).isalpha() or b == LATIN or 0x80 <= b < 0xC0
+                       else DIGIT if 48 <= b < 58 else MARK if chr(b) in MARKS and b != 39 else OTHER
+                       for b in range(256)], np.uint8)
+LOWER = np.array([b + 32 if 65 <= b < 91 or 0x80 <= b < 0x9F else b for b in range(256)], np.uint8)
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -293,15 +304,18 @@ class Vocabulary:
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words, one after the other, and how many each word has."""
-        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths)
+        return self.encode_joined(np.frombuffer(b"".join(words), np.uint8),
+                                  np.fromiter(map(len, words), np.int64, len(words)))
+
+    def encode_joined(self, joined: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words whose bytes stand one after the other."""
+        data, ends = joined.astype(np.int64), np.cumsum(lengths)
         starts = ends - lengths
         if self.marks_ends:
             data[ends[lengths > 0] - 1] += ENDED
         rounds, proposed = self._propose(data, starts, ends)
-        bad = self._refused(rounds, proposed, len(words))
-        counts = np.zeros(len(words), np.int64)
+        bad = self._refused(rounds, proposed, len(lengths))
+        counts = np.zeros(len(lengths), np.int64)
         for owner in rounds:
             counts[owner] += 1
         merged, low = [], 0
@@ -352,7 +366,7 @@ class Encoder:
         names = sorted(vocabulary.special, key=len, reverse=True)
         self._special = re.compile(f"({'|'.join(map(re.escape, names))})") if names else None
         special = vocabulary.special
-        self._place = Places((t, i) for i, t in enumerate(special))
+        self._place = {t: i for i, t in enumerate(special)}
         self._pool, self._used = np.array([*special.values(), 0], np.int32), len(special)
         self._starts = np.arange(len(special))
         self._counts = np.ones(len(special), np.int64)
@@ -400,47 +414,91 @@ class Encoder:
         alphabet = byte_alphabet()
         return [bytes(map(alphabet.__getitem__, piece)).decode() for piece, _ in pieces]
 
+    def _chunked(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct chunks of all texts, the number of each chunk, one text after the other,
+        and how many chunks each text has."""
+        if self._folds and not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.vocabulary.special):
+            # White space is dropped, so every blank or line break may be a cut.
+            cut = pc.ascii_split_whitespace(texts)
+            coded = cut.flatten().dictionary_encode()
+            names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+            return names, coded.indices.to_numpy(), pc.list_value_length(cut).to_numpy()
+        # The chunks of one text at a time: as text they take many times what their numbers do.
+        own = Places()
+        placed = [np.fromiter(map(own.__getitem__, self._chunks(text)), np.int32) for text in texts.to_pylist()]
+        return list(own), np.concatenate([np.zeros(0, np.int32), *placed]), np.fromiter(map(len, placed), np.int64, len(placed))
+
+    def _plain_words(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words of the chunks that are Latin-1 letters, digits and marks alone, for a vocabulary
+        that folds case: which chunks those are, the words' bytes, lengths and chunks."""
+        data = np.frombuffer("".join(chunks).encode(), np.uint8)
+        lengths = pc.binary_length(pa.array(chunks, pa.large_string())).to_numpy()
+        kinds, ends = BYTE_KINDS[data], np.cumsum(lengths)
+        for byte in NO_LETTERS:
+            kinds[data == byte] = OTHER
+        others = np.concatenate([[0], np.cumsum(kinds == OTHER)])
+        plain = others[ends] == others[ends - lengths]
+        inside = np.repeat(plain, lengths)
+        owner = np.repeat(np.arange(len(chunks)), lengths)[inside]
+        data, kinds = LOWER[data[inside]], kinds[inside]
+        first = np.ones(len(data), bool)
+        first[1:] = (kinds[1:] != kinds[:-1]) | (kinds[1:] == DIGIT) | (owner[1:] != owner[:-1])
+        starts = np.flatnonzero(first)
+        return plain, data, np.diff(starts, append=len(data)), owner[starts]
+
     def _learn(self, new: list[str]) -> None:
-        words = list(map(self._words_of, new))
-        ids, counts = self.vocabulary.encode_words([w.encode() for ws in words for w in ws])
-        sums = np.concatenate([[0], np.cumsum(counts)])
-        counts = np.diff(sums[np.cumsum([0, *map(len, words)])])
+        if self._folds:
+            plain, data, lengths, owner = self._plain_words(new)
+        else:
+            plain, data = np.zeros(len(new), bool), np.zeros(0, np.uint8)
+            lengths, owner = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        order = [np.flatnonzero(plain), np.flatnonzero(~plain)]
+        words = [self._words_of(new[i]) for i in order[1].tolist()]
+        spelled = [w.encode() for ws in words for w in ws]
+        ids, counts = self.vocabulary.encode_joined(
+            np.concatenate([data, np.frombuffer(b"".join(spelled), np.uint8)]),
+            np.concatenate([lengths, np.fromiter(map(len, spelled), np.int64, len(spelled))]))
+        owner = np.concatenate([owner, np.repeat(order[1], np.fromiter(map(len, words), np.int64, len(words)))])
+        counts = np.bincount(owner, counts, len(new)).astype(np.int64)
+        order, starts = np.concatenate(order), np.zeros(len(new), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
         room = self._used + len(ids)
         if room > len(self._pool):
             self._pool = np.resize(self._pool, 2 * room)
         self._pool[self._used:room] = ids
-        self._starts = np.concatenate([self._starts, self._used + np.cumsum(counts) - counts])
+        self._starts = np.concatenate([self._starts, self._used + starts])
         self._counts = np.concatenate([self._counts, counts])
         self._used = room
-        return new
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, list[int]]:
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, list[int]]:
         """Ids of all texts, one after the other, and how many each text has."""
         before, used = len(self._starts), self._used
-        # The chunks of one text at a time: as text they take many times what their numbers do.
-        placed = [np.fromiter(map(self._place.__getitem__, self._chunks(text)), np.int32) for text in texts]
-        rows = np.concatenate([np.zeros(0, np.int32), *placed])
-        new = list(islice(reversed(self._place), len(self._place) - before))[::-1]
+        names, rows, sizes = self._chunked(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()))
+        place = np.fromiter(map(self._place.get, names, repeat(-1)), np.int64, len(names))
+        fresh = np.flatnonzero(place < 0)
+        new = [names[i] for i in fresh.tolist()]
         if new:
+            place[fresh] = before + np.arange(len(new))
             self._learn(new)
-        counts = self._counts[rows]
-        ids = self._pool[spread(self._starts[rows], counts)]
-        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *map(len, placed)])]
-        self._forget(new, before, used)
+        place = place[rows]
+        counts = self._counts[place]
+        ids = self._pool[spread(self._starts[place], counts)]
+        ends = np.concatenate([[0], np.cumsum(counts)])[np.cumsum([0, *sizes.tolist()])]
+        self._keep(new, before, used)
         return ids, np.diff(ends).tolist()
 
-    def _forget(self, new: list[str], before: int, used: int) -> None:
-        """Keep of the chunks just learnt those that are not long, if all of them fit."""
-        short = [i for i, chunk in enumerate(new) if len(chunk) <= REMEMBERED_LENGTH]
-        size = self._characters + sum(len(new[i]) for i in short)
+    def _keep(self, new: list[str], before: int, used: int) -> None:
+        """Remember of the chunks just learnt those that are not long, if all of them fit."""
+        lengths = np.fromiter(map(len, new), np.int64, len(new))
+        short = np.flatnonzero(lengths <= REMEMBERED_LENGTH)
+        size = self._characters + int(lengths[short].sum())
         if before + len(short) > REMEMBERED or size > REMEMBERED_CHARACTERS:
-            short, size = [], self._characters
+            short, size = short[:0], self._characters
         self._characters = size
+        self._place.update((new[i], before + k) for k, i in enumerate(short.tolist()))
         if len(short) == len(new):
             return
-        for chunk in new:
-            del self._place[chunk]
-        rows = before + np.array(short, np.int64)
+        rows = before + short
         counts = self._counts[rows]
         ids = self._pool[spread(self._starts[rows], counts)]
         self._used = used + len(ids)
@@ -449,8 +507,6 @@ class Encoder:
             self._pool = self._pool[:2 * max(self._used, 1 << 16)].copy()
         self._starts = np.concatenate([self._starts[:before], used + np.cumsum(counts) - counts])
         self._counts = np.concatenate([self._counts[:before], counts])
-        for i in short:
-            self._place[new[i]]
 
 
 _loaded: dict[str, Vocabulary] = {}
@@ -475,7 +531,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
         encoder = Encoder(vocabulary(path))
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                ids, counts = encoder.encode(part.column("text").to_pylist())
+                ids, counts = encoder.encode(part.column("text"))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), lists(ids, counts, pa.int32())], ["doc_id", "ids"])
 

@@ -135,7 +135,7 @@ def pack(docs: DataFrame, path: str, window: int = 2048, open_windows: int = 32,
         for batch in batches:
             id_type = batch.schema.field("doc_id").type
             for part in slices(batch, "text", SLICE):
-                flat, counts = encoder.encode(part.column("text").to_pylist())
+                flat, counts = encoder.encode(part.column("text"))
                 at = 0
                 for doc, count in zip(part.column("doc_id").to_pylist(), counts, strict=True):
                     packer.place(doc, np.append(flat[at:at + count], np.int32(end_token)))
