@@ -26,12 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import SLICE, Encoder, vocabulary
+from tidemark.llm.bpe import Encoder, vocabulary
 from tidemark.llm.common import Scratch, lists, slices
 
 PIECE = "doc_id {kind}, start long, length long, doc_tokens long, sequence_id long, offset long, ids array<int>"
 NAMES = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 MERGED_PARTITIONS = 16
+# Bytes of text encoded at once: windows and pieces are held beside them.
+SLICE = 1_000_000
 
 
 class Window:
