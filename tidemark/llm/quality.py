@@ -11,6 +11,8 @@ At most ``labelled_rows`` labels are used, those whose ids hash lowest; they and
 models are small and go to every task.  Everything else covers all documents: a
 round is one pass that adds up feature counts per task, summed by Spark, and scoring
 is a column: texts go to Python once and do not come back.  No text is shuffled.
+Training and scoring lower the session's setting for the bytes of rows that go to
+Python at once; it stays lowered.
 
 Without labels of both classes every document gets one half and is kept.  Null text
 counts as empty, null metadata as a value of its own; texts are taken whole, whatever
@@ -32,10 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices
+from tidemark.session import bound_batches
 
 WORD_FEATURES, META_FEATURES = 1 << 16, 1 << 12
 SMOOTHING = 1.0
 REMEMBERED = 100_000
+# Bytes of text read at once: their words and features take twenty times as much.
+SLICE = 1_000_000
 HELD_BACK = 3  # one label in so many calibrates, the others train
 REPEATED = zlib.crc32(b"word=repeated") % WORD_FEATURES
 MARKS = "#$%&*!|.,;:?()[]{}<>\"'~^_=+-/\\@"
@@ -96,6 +101,11 @@ class Views:
     def __init__(self) -> None:
         self._words = Words()
 
+    def parts(self, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, tuple]]:
+        """The slices of a batch of any size, each with its features."""
+        for part in slices(batch, "text", SLICE):
+            yield part, self.of(part)
+
     def of(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         texts = [t or "" for t in batch.column("text").to_pylist()]
         split = [t.split() for t in texts]
@@ -192,8 +202,7 @@ def _counts(docs: DataFrame, labels: dict[int, int], classifier: Classifier | No
         reader = Views()
         sums = [np.zeros((2, WORD_FEATURES), np.int64), np.zeros((2, META_FEATURES), np.int64)]
         for batch in batches:
-            for part in slices(batch, "text"):
-                views = reader.of(part)
+            for part, views in reader.parts(batch):
                 known = np.array([labels.get(d, -1) for d in part.column("doc_id").to_pylist()])
                 taught = [known.copy(), known.copy()]
                 if classifier is not None:
@@ -226,8 +235,7 @@ def _calibrated(docs: DataFrame, counts: list, labels: dict[int, int]) -> Classi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Views()
         for batch in batches:
-            for part in slices(batch, "text"):
-                features, owners, meta, meta_owners = reader.of(part)
+            for part, (features, owners, meta, meta_owners) in reader.parts(batch):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(classifier.words.raw(features, owners, len(part))),
                      pa.array(classifier.meta.raw(meta, meta_owners, len(part)))], ["doc_id", "words", "meta"])
@@ -249,7 +257,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, labelled_rows: in
           source_column: str = "source", label_column: str = "quality") -> Classifier:
     """Classifier after ``rounds`` exchanges of pseudo-labels.  ``labelled_rows`` bounds
     the labels used; ``sure`` is the logit from which a view teaches the other."""
-    spark = docs.sparkSession
+    spark = bound_batches(docs.sparkSession)
     source = _source(docs, id_column, text_column, lang_column, source_column)
     sample = (labels.select(F.col(id_column).cast("long").alias("doc_id"), F.col(label_column).cast("int").alias("label"))
               .where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.min("label").alias("label"))
@@ -258,18 +266,17 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = 2, labelled_rows: in
     teaching = {d: v for i, (d, v) in enumerate(zip(ids, values, strict=True)) if i % HELD_BACK}
     held = {d: v for i, (d, v) in enumerate(zip(ids, values, strict=True)) if not i % HELD_BACK}
 
-    def labelled(chosen: dict[int, int]) -> DataFrame:
-        frame = spark.createDataFrame([(d,) for d in chosen], "doc_id long")
-        return source.join(F.broadcast(frame), "doc_id", "left_semi")
+    def only(chosen: dict[int, int], how: str = "left_semi") -> DataFrame:
+        # As an Arrow table: rows of Python objects start further workers on the executors.
+        frame = spark.createDataFrame(pa.table({"doc_id": pa.array(list(chosen), pa.int64())}))
+        return source.join(F.broadcast(frame), "doc_id", how)
 
-    counts = _counts(labelled(teaching), teaching, None, sure)
-    classifier = _calibrated(labelled(held), counts, held)
+    counts = _counts(only(teaching), teaching, None, sure)
+    classifier = _calibrated(only(held), counts, held)
     for _ in range(rounds if len(set(values)) == 2 else 0):
         # Held-back documents teach nothing: what a view says of them may not return.
-        rest = source.join(F.broadcast(spark.createDataFrame([(d,) for d in held], "doc_id long")),
-                           "doc_id", "left_anti")
-        counts = _counts(rest, teaching, classifier, sure)
-        classifier = _calibrated(labelled(held), counts, held)
+        counts = _counts(only(held, "left_anti"), teaching, classifier, sure)
+        classifier = _calibrated(only(held), counts, held)
     return classifier
 
 
@@ -278,13 +285,16 @@ def score(docs: DataFrame, classifier: Classifier, id_column: str = "doc_id", te
           threshold: float = 0.5) -> DataFrame:
     """Rows (doc_id, words_view, meta_view, quality, is_good, then ``keep``): the calibrated
     probabilities of good quality by each view and by both; good from ``threshold`` up."""
+    bound_batches(docs.sparkSession)
+
     @F.arrow_udf("struct<words_view: double, meta_view: double, quality: double>")
     def judged(arrays: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         reader = Views()
         for text, lang, source in arrays:
             parts = []
-            for part in slices(pa.RecordBatch.from_arrays([text, lang, source], ["text", "lang", "source"]), "text"):
-                words, meta = classifier.logits(reader.of(part), len(part))
+            batch = pa.RecordBatch.from_arrays([text, lang, source], ["text", "lang", "source"])
+            for part, views in reader.parts(batch):
+                words, meta = classifier.logits(views, len(part))
                 both = classifier.combined(*(np.clip(v, -10, 10) for v in (words, meta)))
                 parts.append(np.stack([1 / (1 + np.exp(-np.clip(x, -700, 700))) for x in (words, meta, both)]))
             columns = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0))

@@ -27,6 +27,10 @@ REQUIRED_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
+# Bytes of rows that go to a Python worker at once.  Spark's 64 MB are held by the executor
+# in buffers that double, and by the worker, for each of its tasks, beside the heap.
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     for name, value in REQUIRED_SETTINGS.items():
@@ -35,6 +39,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """Lower the session's batches to ``BATCH_BYTES``; smaller ones stay as they are."""
+    in_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    if in_bytes(spark.conf.get(BATCH_SETTING)) > BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for written intermediates, as the session names it."""
     named = spark.conf.get(SHARED_FOLDER_SETTING, None)
