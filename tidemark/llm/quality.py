@@ -39,7 +39,7 @@ from tidemark.session import bound_batches
 WORD_FEATURES, META_FEATURES = 1 << 16, 1 << 12
 SMOOTHING = 1.0
 REMEMBERED = 100_000
-# Bytes of text read at once: their words and features take twenty times as much.
+# Bytes of text read at once: their words and features take nearly thirty times as much.
 SLICE = 1_000_000
 HELD_BACK = 3  # one label in so many calibrates, the others train
 REPEATED = zlib.crc32(b"word=repeated") % WORD_FEATURES
